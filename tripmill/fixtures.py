@@ -51,9 +51,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.withColumn("total_amount", F.expr(f"{charges} - CASE WHEN event_id % 59 = 0 THEN 5D ELSE 0D END"))
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather(trips: DataFrame) -> DataFrame:
     """Hourly weather with missing hours, unreadable times and a second, later source."""
-    pickup = trips(spark, sf_dir).select(hour_floor(F.col("tpep_pickup_datetime")).alias("h")).distinct()
+    pickup = trips.select(hour_floor(F.col("tpep_pickup_datetime")).alias("h")).distinct()
     hours = pickup.selectExpr(
         "dayofyear(h) * 24 + hour(h) AS eh", "date_format(h, \"yyyy-MM-dd'T'HH:mm:ss\") AS iso"
     ).filter("eh % 17 <> 0")

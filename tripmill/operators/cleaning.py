@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +54,7 @@ class TripCleaner:
 
     def non_negative(self, df: DataFrame) -> list[Rule]:
         return [
-            Rule(f"negative {name}", "non_negative", (F.col(name) >= 0) & _not_nan(df, name))
+            Rule(f"negative {name}", "non_negative", F.expr(f"`{name}` >= 0{_and_not_nan(df, name)}"))
             for name in NON_NEGATIVE_COLUMNS
             if name in df.columns
         ]
@@ -92,11 +92,11 @@ class TripCleaner:
         present = [c for c in CHARGE_COLUMNS if c in df.columns]
         if "total_amount" not in df.columns or not present:
             return None
-        return reduce(add, [F.coalesce(_number_or_null(df, c), F.lit(0.0)) for c in present])
+        return F.expr(" + ".join(f"coalesce(nanvl(`{c}`, 0D), 0D)" for c in present))
 
     def total_covers_charges(self, df: DataFrame) -> Column:
-        total = F.col("total_amount") + F.lit(self.config.charge_tolerance)
-        return (total >= self.charge_total(df)) & _not_nan(df, "total_amount")
+        total = F.expr(f"nanvl(`total_amount`, NULL) + {self.config.charge_tolerance}D")
+        return total >= self.charge_total(df)
 
     def paid_fare(self, df: DataFrame) -> Column:
         """A zero fare beside positive charges is an error; a trip that is free altogether is kept."""
@@ -181,14 +181,7 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def _is_floating(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
-
-
-def _not_nan(df: DataFrame, name: str) -> Column:
+def _and_not_nan(df: DataFrame, name: str) -> str:
     """Upper-bounded rules need no such guard: NaN sorts above every number."""
-    return ~F.isnan(name) if _is_floating(df, name) else F.lit(True)
-
-
-def _number_or_null(df: DataFrame, name: str) -> Column:
-    return F.when(~F.isnan(name), F.col(name)) if _is_floating(df, name) else F.col(name)
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return f" AND NOT isnan(`{name}`)" if floating else ""

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.session import Stage
@@ -56,28 +58,28 @@ def hot_split_join(
     hot: DataFrame | None,
     small: bool,
     how: str = "inner",
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Join facts to a dimension that holds every key once; null keys equal each other.
+    """Join facts to a dimension that holds every key once.
 
     ``small`` says that the size of the dimension was checked: it is broadcast and the facts do not move.
     Otherwise the few hot keys are broadcast and only the facts with cold keys are shuffled, so no task
-    receives more than ``HOT_SHARE`` of the facts for one key.
+    receives more than ``HOT_SHARE`` of the facts for one key. ``null_safe`` lets null keys equal each
+    other; it stays an equi-join.
     """
     added = [c for c in dimension.columns if c not in on]
 
+    def matches(left: DataFrame, right: DataFrame) -> Column:
+        pairs = [(left[c], right[f"_dim_{c}"]) for c in on]
+        return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+
     def attach(left: DataFrame, right: DataFrame, broadcast: bool, kind: str) -> DataFrame:
         renamed = right.select(*[F.col(c).alias(f"_dim_{c}") for c in on], *added)
         renamed = F.broadcast(renamed) if broadcast else renamed
-        condition = F.lit(True)
-        for name in on:
-            condition = condition & left[name].eqNullSafe(renamed[f"_dim_{name}"])
-        return left.join(renamed, condition, kind).select(*left.columns, *added)
+        return left.join(renamed, matches(left, renamed), kind).select(*left.columns, *added)
 
     if small or hot is None:
         return attach(facts, dimension, small, how)
-    hot_keys = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on])
-    is_hot = F.lit(True)
-    for name in on:
-        is_hot = is_hot & facts[name].eqNullSafe(hot_keys[f"_hot_{name}"])
-    cold = facts.join(F.broadcast(hot_keys), is_hot, "left_anti")
+    hot_keys = F.broadcast(hot.select(*[F.col(c).alias(f"_dim_{c}") for c in on]))
+    cold = facts.join(hot_keys, matches(facts, hot_keys), "left_anti")
     return attach(facts, hot, True, "inner").unionByName(attach(cold, dimension, False, how))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from operator import add
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,8 @@ TIP_FEATURES = ("fare_amount", "tip_amount")
 SHORT_TRIPS = "Economy / Short Trips"
 LONG_TRIPS = "Premium / Long Trips"
 
+PARALLEL_FITS = 8
+
 Centroids = Sequence[Sequence[float]]
 
 
@@ -77,12 +80,17 @@ def fit(
         return Fit([], 0.0, [])
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     data = assembler.transform(points).select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def run(number: int) -> tuple[list[list[float]], float]:
+        means = KMeans(k=k, seed=seed + number, maxIter=max_iterations, tol=tolerance, weightCol="weight")
+        model = means.fit(data)
+        return [[float(x) for x in c] for c in model.clusterCenters()], model.summary.trainingCost
+
+    # The restarts are independent chains of small jobs; side by side they fill the cluster.
     try:
-        fits = []
-        for i in range(restarts):
-            means = KMeans(k=k, seed=seed + i, maxIter=max_iterations, tol=tolerance, weightCol="weight")
-            model = means.fit(data)
-            fits.append(([[float(x) for x in c] for c in model.clusterCenters()], model.summary.trainingCost))
+        data.count()
+        with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
+            fits = pool.map(inheritable_thread_target(points.sparkSession)(run), range(restarts))
     finally:
         data.unpersist()
     centroids, cost = min(fits, key=lambda f: f[1])

@@ -160,7 +160,7 @@ def split_hot(numbered: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 def attach_fare_id(trips: DataFrame, dim_fare: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
     """Replace the money columns by ``fare_id``; the number of rows does not change."""
     money = money_columns(trips)
-    joined = hot_split_join(trips, dim_fare.select(*money, "fare_id"), money, hot, small, how="left")
+    joined = hot_split_join(trips, dim_fare.select(*money, "fare_id"), money, hot, small, how="left", null_safe=True)
     return fact_order(joined.drop(*money))
 
 

@@ -147,37 +147,46 @@ def shares(counts: DataFrame, column: str = "trip_count") -> DataFrame:
     return counts.withColumn("percent", F.try_divide(F.col(column) * F.lit(100.0), total))
 
 
-def _pearson(x: str, y: str) -> Column:
-    """Correlation over rows where both are known; null where it is undefined.
+def correlation_matrix(
+    df: DataFrame, columns: Sequence[str] = CORRELATED, known: Sequence[str] = ()
+) -> DataFrame:
+    """``(row_no, col_no, variable, other, correlation, text)`` for every ordered pair, in one pass.
 
-    The built-in ``corr`` divides by zero on a constant column under ANSI rules.
+    Each pair uses the rows where both are known, and is null where it is undefined: the built-in ``corr``
+    divides by zero on a constant column under ANSI rules. Only the upper triangle is aggregated. Columns
+    that are ``known`` to hold no null need no guard, so deviations are shared between pairs.
     """
-    a, b = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
-    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    places = range(len(columns))
 
+    def deviation(x: str, y: str) -> Column:
+        both = F.col(x) if y in known or x == y else F.when(F.col(y).isNotNull(), F.col(x))
+        return F.stddev_pop(both)
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
-    """``(row_no, col_no, variable, other, correlation, text)`` for every ordered pair, in one pass.
+    moments = {f"d_{i}_{j}": deviation(columns[i], columns[j]) for i in places for j in places}
+    moments |= {f"c_{i}_{j}": F.covar_pop(columns[i], columns[j]) for i, j in combinations(places, 2)}
+    totals = numeric.agg(*[moment.alias(name) for name, moment in moments.items()])
+
+    def pearson(i: int, j: int) -> Column:
+        if i == j:
+            return F.expr(f"CASE WHEN d_{i}_{i} > 0 THEN 1D END")
+        low, high = min(i, j), max(i, j)
+        return F.expr(f"try_divide(c_{low}_{high}, d_{low}_{high} * d_{high}_{low})")
 
-    Only the upper triangle is aggregated; the lower one repeats it.
-    """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = {(i, j): f"r_{i}_{j}" for i, j in combinations(range(len(columns)), 2)}
-    pairs |= {(i, i): f"r_{i}_{i}" for i in range(len(columns))}
-    totals = numeric.agg(*[_pearson(columns[i], columns[j]).alias(name) for (i, j), name in pairs.items()])
     cells = [
         F.struct(
             F.lit(i + 1).alias("row_no"),
             F.lit(j + 1).alias("col_no"),
             F.lit(columns[i]).alias("variable"),
             F.lit(columns[j]).alias("other"),
-            F.col(pairs[min(i, j), max(i, j)]).alias("correlation"),
+            pearson(i, j).alias("correlation"),
         )
-        for i in range(len(columns))
-        for j in range(len(columns))
+        for i in places
+        for j in places
     ]
     long = totals.select(F.inline(F.array(*cells)))
-    return long.withColumn("text", F.format_string("%.2f", round_even(F.col("correlation"))))
+    text = F.format_string("%.2f", round_even(F.col("correlation")))
+    return long.withColumn("text", F.when(F.col("correlation").isNotNull(), text))
 
 
 def display_names(matrix: DataFrame) -> DataFrame:

@@ -38,6 +38,8 @@ CORRELATED = (
     "precip",
     "hour",
 )
+# Never null in the correlation mart.
+ALWAYS_KNOWN = ("trip_duration_min", "trip_distance", "fare_amount", "tip_amount", "hour")
 
 
 class Marts:
@@ -198,15 +200,16 @@ class Marts:
 
     def correlation(self) -> DataFrame:
         """Nine numeric columns per trip, all trips. Hours and weather are one small table."""
-        known = ["trip_duration_min", "trip_distance"]
-        facts = self.facts.select("datetime_id", "fare_id", *known, "passenger_count").dropna(subset=known)
+        facts = self.facts.filter("trip_duration_min IS NOT NULL AND trip_distance IS NOT NULL").select(
+            "datetime_id", "fare_id", "trip_duration_min", "trip_distance", "passenger_count"
+        )
         hours = self.star.dim_datetime.filter(self._wanted).select("datetime_id", "hour")
         weather = self.star.dim_weather.select("datetime_id", "temp", "precip")
         hours = hours.join(weather, "datetime_id", "left")
         small = fits_broadcast(self.star.hour_rows, hours.columns)
         placed = facts.join(F.broadcast(hours) if small else hours, "datetime_id")
         priced = self.star.with_fares(placed, "fare_amount", "tip_amount", "total_amount")
-        return priced.dropna(subset=["fare_amount", "tip_amount"]).select(*CORRELATED)
+        return priced.filter("fare_amount IS NOT NULL AND tip_amount IS NOT NULL").select(*CORRELATED)
 
     def clustering(self, *also: str) -> DataFrame:
         """Trips to be segmented; ``also`` names further fact columns to carry, such as a row key."""
@@ -228,18 +231,18 @@ class Marts:
         )
 
     def cluster_data(self) -> DataFrame:
-        facts = self.facts.select("datetime_id", "fare_id", "trip_distance").dropna(subset=["trip_distance"])
+        facts = self.facts.filter("trip_distance IS NOT NULL").select("datetime_id", "fare_id", "trip_distance")
         priced = self.star.with_fares(self._in_years(facts), "tip_amount", "fare_amount")
-        return priced.dropna(subset=["tip_amount", "fare_amount"]).select("tip_amount", "fare_amount", "trip_distance")
+        return priced.filter("tip_amount IS NOT NULL AND fare_amount IS NOT NULL").select("tip_amount", "fare_amount", "trip_distance")
 
     def tip_points(self) -> DataFrame:
         """``cluster_data`` as distinct fare and tip pairs with their weight."""
-        facts = self.facts.select("datetime_id", "fare_id", "trip_distance").dropna(subset=["trip_distance"])
+        facts = self.facts.filter("trip_distance IS NOT NULL").select("datetime_id", "fare_id")
         per_fare = self._in_years(facts).groupBy("fare_id").agg(F.count("*").alias("trips"))
         dim = self.star.dim_fare.select("fare_id", "fare_amount", "tip_amount")
         priced = per_fare.join(F.broadcast(dim) if self.star.fares_are_small else dim, "fare_id")
         return (
-            priced.dropna(subset=["tip_amount", "fare_amount"])
+            priced.filter("tip_amount IS NOT NULL AND fare_amount IS NOT NULL")
             .groupBy("fare_amount", "tip_amount")
             .agg(F.sum("trips").cast("double").alias("weight"))
         )

@@ -20,7 +20,7 @@ from tripmill.operators.sampling import stratified_sample
 from tripmill.operators.star import Star
 from tripmill.plans import derive
 from tripmill.plans.load import load_trips, load_weather
-from tripmill.plans.marts import Marts
+from tripmill.plans.marts import ALWAYS_KNOWN, Marts
 from tripmill.session import Stage, ensure_utc, shared_folder
 from tripmill.sources import files
 from tripmill.sources.warehouse import Warehouse
@@ -41,6 +41,7 @@ class Prepared:
         self.spark = spark
         self.sf_dir = sf_dir
         self.stage = Stage(spark)
+        self._trips: DataFrame | None = None
         self._star: Star | None = None
         self._features: DataFrame | None = None
         self._tips = None
@@ -51,12 +52,19 @@ class Prepared:
     def star(self) -> Star:
         if self._star is None:
             load_trips(self.trips, self.warehouse, fixtures.CLEANING, fixtures.QUALITY, self.stage)
-            self._star = load_weather(fixtures.weather(self.spark, self.sf_dir), self.warehouse)
+            self._star = load_weather(self.weather, self.warehouse)
         return self._star
 
     @property
     def trips(self) -> DataFrame:
-        return fixtures.trips(self.spark, self.sf_dir)
+        """Stored trips, so that cleaning filters reach a Parquet scan as they do on trip files."""
+        if self._trips is None:
+            self._trips = self.stage.save(fixtures.trips(self.spark, self.sf_dir), "trips")
+        return self._trips
+
+    @property
+    def weather(self) -> DataFrame:
+        return fixtures.weather(self.trips)
 
     @property
     def cleaned(self) -> DataFrame:
@@ -135,7 +143,7 @@ def trip_files(p: Prepared) -> DataFrame:
 @query("s02_weather_csv")
 def weather_csv(p: Prepared) -> DataFrame:
     root = p.stage.path("weather")
-    raw = fixtures.weather(p.spark, p.sf_dir)
+    raw = p.weather
     for number in (0, 1):
         part = raw.filter(F.col("source_order") == number).drop("source_order")
         part.write.option("header", True).csv(f"{root}/{number}")
@@ -342,13 +350,13 @@ def whole_star(p: Prepared) -> DataFrame:
 
 
 def _matched(p: Prepared) -> DataFrame:
-    raw = weathers.parse_time(fixtures.weather(p.spark, p.sf_dir))
+    raw = weathers.parse_time(p.weather)
     return weathers.match_hours(raw, p.star.dim_datetime, p.star.hours_are_small)
 
 
 @query("w01_parse_time")
 def parse_time(p: Prepared) -> DataFrame:
-    return weathers.parse_time(fixtures.weather(p.spark, p.sf_dir)).select("source_order", "datetime", "full_datetime")
+    return weathers.parse_time(p.weather).select("source_order", "datetime", "full_datetime")
 
 
 @query("w02_match_hours")
@@ -486,7 +494,7 @@ def markers(p: Prepared) -> DataFrame:
 
 
 def _matrix(p: Prepared) -> DataFrame:
-    matrix = derive.correlation_matrix(p.marts.correlation())
+    matrix = derive.correlation_matrix(p.marts.correlation(), known=ALWAYS_KNOWN)
     return matrix.withColumn("correlation", round_even(F.col("correlation"), 6))
 
 

@@ -21,14 +21,14 @@ FEATURE_TYPE = (
 ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
 
 
-def read_trips(spark: SparkSession, directory: str) -> DataFrame:
+def read_trips(spark: SparkSession, directory: str, schema: str | None = None) -> DataFrame:
     """All ``*.parquet`` entries directly in a directory, united by column name.
 
     A column that a file lacks is null there. Files whose types disagree are read entry by entry, so that
-    the union can widen them.
+    the union can widen them. With a ``schema`` no footer has to be read to plan the scan.
     """
     pattern = f"{directory.rstrip('/')}/*.parquet"
-    reader = spark.read.option("mergeSchema", True)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     try:
         return reader.parquet(pattern)
     except AnalysisException as error:
