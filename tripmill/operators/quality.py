@@ -124,4 +124,4 @@ class StarChecker:
         for row in sorted(self.report(checks).collect(), key=lambda r: r["check_no"]):
             if not row["passed"]:
                 shown = [tuple(r) for r in self.preview(row["check_name"]).collect()]
-                raise QualityCheckError(f"{row['check']}: {row['violations']} violations, such as {shown}")
+                raise QualityCheckError(f"{row['check_name']}: {row['violations']} violations, such as {shown}")

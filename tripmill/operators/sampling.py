@@ -52,7 +52,7 @@ def stratified_sample(
         if not short:
             break
         bounds.update({s: min(1.0, bounds[s] * 2) for s in short})
-    if any(found[s] > 4 * margin[s] for s in targets):
+    if any(found[s] > 4 * n + 1000 for s, n in targets.items()):
         raise ValueError(f"{list(key)} does not identify rows: too many of them share a hash")
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_unit", *key))
     ranked = candidates.withColumn("_rank", rank)
