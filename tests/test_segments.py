@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.operators import sampling, segments
+from tripmill.session import Stage
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +45,7 @@ def test_assign_is_nearest_and_ties_go_down(spark, trips):
 
 
 def test_trip_segments(spark, trips):
-    named, best = segments.trip_segments(trips, restarts=3)
+    named, best = segments.trip_segments(trips, Stage(spark), restarts=3)
     assert len(best.costs) == 3 and best.cost == min(best.costs)
     rows = named.collect()
     assert len(rows) == trips.count()
@@ -63,10 +64,10 @@ def test_weights_stand_for_copies(spark, trips):
 
 
 def test_no_trips(spark, trips):
-    named, best = segments.trip_segments(trips.limit(0))
+    named, best = segments.trip_segments(trips.limit(0), Stage(spark))
     assert named.count() == 0 and best.centroids == []
     points = spark.createDataFrame([], "fare_amount double, tip_amount double, weight double")
-    assert segments.tip_segments(points)[0].count() == 0
+    assert segments.tip_segments(points, Stage(spark))[0].count() == 0
 
 
 def test_targets():

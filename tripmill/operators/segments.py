@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions.columns import round_even
+from tripmill.session import Stage
 
 FEATURES = ("trip_duration_min", "fare_amount", "trip_distance")
 TIP_FEATURES = ("fare_amount", "tip_amount")
@@ -67,6 +68,7 @@ def fit(
     points: DataFrame,
     features: Sequence[str],
     k: int,
+    stage: Stage,
     seed: int = 42,
     restarts: int = 10,
     max_iterations: int = 300,
@@ -74,21 +76,23 @@ def fit(
 ) -> Fit:
     """Best of several k-means runs on weighted points. Only centroids and costs reach the driver.
 
-    Without points there are no centroids.
+    The points are written once, so a lost executor re-reads them instead of repeating the joins behind
+    them, and cached once for all runs. The block solver works on that one copy. Without points there are
+    no centroids.
     """
-    if points.isEmpty():
-        return Fit([], 0.0, [])
+    stored = stage.save(points.select(*features, "weight"), "points")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    data = assembler.transform(points).select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    data = assembler.transform(stored).select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(number: int) -> tuple[list[list[float]], float]:
-        means = KMeans(k=k, seed=seed + number, maxIter=max_iterations, tol=tolerance, weightCol="weight")
+        means = KMeans(k=k, seed=seed + number, maxIter=max_iterations, tol=tolerance, weightCol="weight", solver="block")
         model = means.fit(data)
         return [[float(x) for x in c] for c in model.clusterCenters()], model.summary.trainingCost
 
     # The restarts are independent chains of small jobs; side by side they fill the cluster.
     try:
-        data.count()
+        if data.count() == 0:
+            return Fit([], 0.0, [])
         with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
             fits = pool.map(inheritable_thread_target(points.sparkSession)(run), range(restarts))
     finally:
@@ -139,19 +143,21 @@ def segment_sizes(named: DataFrame) -> DataFrame:
     return named.groupBy("trip_type").agg(F.count("*").alias("trip_count")).orderBy(F.desc("trip_count"), "trip_type")
 
 
-def trip_segments(trips: DataFrame, restarts: int = 10, seed: int = 42) -> tuple[DataFrame, Fit]:
+def trip_segments(trips: DataFrame, stage: Stage, restarts: int = 10, seed: int = 42) -> tuple[DataFrame, Fit]:
     """Standardise, fit two clusters on the distinct points, assign every trip and name the clusters."""
     ready = standardise(fill_features(trips))
-    best = fit(weighted_points(ready, scaled()), scaled(), k=2, seed=seed, restarts=restarts)
+    best = fit(weighted_points(ready, scaled()), scaled(), 2, stage, seed=seed, restarts=restarts)
     return name_segments(assign(ready, best.centroids, scaled(), "trip_cluster")), best
 
 
-def tip_segments(points: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> tuple[DataFrame, Fit]:
+def tip_segments(
+    points: DataFrame, stage: Stage, k: int = 3, restarts: int = 10, seed: int = 42
+) -> tuple[DataFrame, Fit]:
     """Clusters of unscaled fare and tip: ``(cluster, fare_amount, tip_amount, trips)``.
 
     ``points`` are distinct pairs with weights. Clusters are numbered by the fare of their centroid.
     """
-    best = fit(points, TIP_FEATURES, k=k, seed=seed, restarts=restarts)
+    best = fit(points, TIP_FEATURES, k, stage, seed=seed, restarts=restarts)
     best = Fit(sorted(best.centroids), best.cost, best.costs)
     counts = assign(points, best.centroids, TIP_FEATURES, "cluster").groupBy("cluster").agg(
         F.sum("weight").cast("bigint").alias("trips")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,12 @@ from tripmill.session import Stage
 HOUR_COLUMNS = ("datetime_id", "full_datetime")
 
 
+class Store(Protocol):
+    """Writes a frame under a name and reads it back."""
+
+    def save(self, df: DataFrame, name: str) -> DataFrame: ...
+
+
 @dataclass(frozen=True)
 class Star:
     """Star tables with the sizes that decide how they are joined.
@@ -149,12 +156,10 @@ def number_fares(combinations: DataFrame, stage: Stage) -> DataFrame:
     return dense_key(combinations, money_columns(combinations), "fare_id", stage)
 
 
-def split_hot(numbered: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """``(dim_fare, hot_fares, rows)`` from numbered combinations."""
-    columns = ["fare_id", *money_columns(numbered)]
-    rows, trips = numbered.agg(F.count(F.lit(1)), F.coalesce(F.sum("trips"), F.lit(0))).first()
-    hot = numbered.filter(F.col("trips") > F.lit(trips * HOT_SHARE)).select(*columns)
-    return numbered.select(*columns), hot, rows
+def hot_fares(numbered: DataFrame) -> DataFrame:
+    """The combinations that hold more than ``HOT_SHARE`` of all trips, fewer than ``1 / HOT_SHARE`` rows."""
+    trips = numbered.agg(F.sum("trips")).first()[0] or 0
+    return numbered.filter(F.col("trips") > F.lit(trips * HOT_SHARE)).drop("trips")
 
 
 def attach_fare_id(trips: DataFrame, dim_fare: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
@@ -177,21 +182,26 @@ def fact_order(fact: DataFrame) -> DataFrame:
 # -- whole transform ---------------------------------------------------------------------------------
 
 
-def build_star(trips: DataFrame, stage: Stage) -> Star:
-    """Dimensions are written first, so their sizes are known when the fact is joined to them.
+def build_star(trips: DataFrame, stage: Stage, tables: Store | None = None) -> Star:
+    """Dimensions are stored first, so their sizes are known when the fact is joined to them.
 
-    The trips are read once per table with only the columns it needs. Pass trips that are stored, not a
-    long computation.
+    ``tables`` stores the dimensions where they are to stay; by default that is the stage. The trips are
+    read once per table with only the columns it needs, so pass trips that are stored, not a long
+    computation.
     """
+    tables = tables or stage
     derived = add_metrics(trips)
-    dim_datetime = stage.save(build_dim_datetime(derived), "dim_datetime")
+    dim_datetime = tables.save(build_dim_datetime(derived), "dim_datetime")
     hour_rows = dim_datetime.count()
     fact = attach_datetime_id(derived, dim_datetime, fits_broadcast(hour_rows, HOUR_COLUMNS))
     if not money_columns(derived):
-        dim_fare = trips.sparkSession.range(1, 2).select(F.col("id").alias("fare_id"))
+        dim_fare = tables.save(trips.sparkSession.range(1, 2).select(F.col("id").alias("fare_id")), "dim_fare")
         fact = fact_order(fact.withColumn("fare_id", F.lit(1).cast("bigint")))
         return Star(dim_datetime, dim_fare, fact, None, hour_rows, 1)
-    numbered = number_fares(fare_combinations(derived), stage)
-    dim_fare, hot, fare_rows = split_hot(numbered)
-    fact = attach_fare_id(fact, dim_fare, hot, fits_broadcast(fare_rows, dim_fare.columns))
-    return Star(dim_datetime, dim_fare, fact, hot, hour_rows, fare_rows)
+    numbered = number_fares(fare_combinations(derived), stage).select("fare_id", *money_columns(derived), "trips")
+    dim_fare = tables.save(numbered.drop("trips"), "dim_fare")
+    fare_rows = dim_fare.count()
+    small = fits_broadcast(fare_rows, dim_fare.columns)
+    # A dimension that is broadcast whole needs no list of hot combinations.
+    hot = None if small else tables.save(hot_fares(numbered), "hot_fares")
+    return Star(dim_datetime, dim_fare, attach_fare_id(fact, dim_fare, hot, small), hot, hour_rows, fare_rows)

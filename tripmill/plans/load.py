@@ -14,7 +14,7 @@ from tripmill.operators.star import Star, build_star
 from tripmill.operators.weather import build_dim_weather
 from tripmill.session import Stage, ensure_utc
 from tripmill.sources.files import read_trips, read_weather
-from tripmill.sources.warehouse import Warehouse
+from tripmill.sources.warehouse import PENDING, Warehouse
 
 log = logging.getLogger(__name__)
 
@@ -25,18 +25,21 @@ def load_trips(
     cleaning: CleaningConfig = CleaningConfig(),
     quality: QualityConfig | None = None,
     stage: Stage | None = None,
+    compact: bool = False,
 ) -> Star:
     """Clean trips, build the star, check it and publish it. A failed check leaves the current star as it is.
 
     The cleaned trips are written to the stage once and every table reads the columns it needs from there.
     The star is written once as well, under pending names; the checks read those tables, and publishing
-    renames them.
+    renames them. ``compact`` asks for fuller fact files at the price of a shuffle.
     """
     spark = ensure_utc(trips.sparkSession)
     stage = stage or Stage(spark)
     cleaned = stage.save(TripCleaner(cleaning).clean(trips), "cleaned")
-    warehouse.create()
-    pending = warehouse.save_star(build_star(cleaned, stage))
+    warehouse.begin()
+    star = build_star(cleaned, stage, warehouse)
+    warehouse.save_fact(star.fact_trips, f"fact_trips{PENDING}", compact)
+    pending = warehouse.load_star(PENDING)
     StarChecker(cleaned, pending, quality or QualityConfig(cleaning.start, cleaning.end)).raise_on_failure()
     return warehouse.publish()
 

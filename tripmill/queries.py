@@ -99,7 +99,7 @@ class Prepared:
     @property
     def tips(self):
         if self._tips is None:
-            self._tips = segments.tip_segments(self.marts.tip_points())
+            self._tips = segments.tip_segments(self.marts.tip_points(), self.stage)
         return self._tips
 
     @property
@@ -532,7 +532,7 @@ def standardise(p: Prepared) -> DataFrame:
 
 @query("m03_trip_segments")
 def trip_segments(p: Prepared) -> DataFrame:
-    named, _ = segments.trip_segments(p.marts.clustering())
+    named, _ = segments.trip_segments(p.marts.clustering(), p.stage)
     return segments.segment_statistics(named)
 
 

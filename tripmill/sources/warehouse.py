@@ -51,14 +51,14 @@ class Warehouse:
         placed.write.mode("overwrite").format("parquet").partitionBy(PARTITION).saveAsTable(self.name(table))
         return self.table(table)
 
-    def save_star(self, star: Star, compact: bool = False) -> Star:
-        """Write star tables under pending names; ``publish`` makes them the current ones."""
-        self.save_dimension(star.dim_datetime, f"dim_datetime{PENDING}")
-        self.save_dimension(star.dim_fare, f"dim_fare{PENDING}")
-        if star.hot_fares is not None:
-            self.save_dimension(star.hot_fares, f"hot_fares{PENDING}")
-        self.save_fact(star.fact_trips, f"fact_trips{PENDING}", compact)
-        return self.load_star(PENDING)
+    def save(self, df: DataFrame, table: str) -> DataFrame:
+        """Store a dimension under its pending name; ``publish`` makes it the current one."""
+        return self.save_dimension(df, f"{table}{PENDING}")
+
+    def begin(self) -> None:
+        """Forget what an unpublished load left behind."""
+        self.create()
+        self.drop([f"{table}{PENDING}" for table in STAR_TABLES])
 
     def publish(self) -> Star:
         """Replace the current star by the pending one. The weather dimension goes with the old hours."""
