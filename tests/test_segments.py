@@ -87,7 +87,7 @@ def expected_sample(trips, key, targets, stratum):
 @pytest.mark.parametrize("partitions", [1, 13])
 def test_sample_is_exact_and_stable(spark, trips, partitions):
     df = trips.withColumn("kind", F.when(F.col("id") < 30, "rare").otherwise("common")).repartition(partitions)
-    sample = sampling.stratified_sample(df, "kind", ["id"], total=200, floor=20)
+    sample = sampling.stratified_sample(df, "kind", ["id"], Stage(spark), total=200, floor=20)
     targets = sampling.stratum_targets({"rare": 30, "common": 1770}, 200, 20)
     got = [r["id"] for r in sample.collect()]
     assert len(got) == len(set(got)) == sum(targets.values())
@@ -98,21 +98,21 @@ def test_sample_is_exact_and_stable(spark, trips, partitions):
 def test_sample_tops_up_when_the_bound_was_short(spark, trips, monkeypatch):
     monkeypatch.setattr(sampling.math, "sqrt", lambda n: -n / 7.0)
     df = trips.withColumn("kind", F.lit("all"))
-    got = {r["id"] for r in sampling.stratified_sample(df, "kind", ["id"], total=500).collect()}
+    got = {r["id"] for r in sampling.stratified_sample(df, "kind", ["id"], Stage(spark), total=500).collect()}
     assert got == expected_sample(df, ["id"], {"all": 500}, "kind")
 
 
 def test_sample_of_everything_and_of_nothing(spark, trips):
     df = trips.withColumn("kind", F.lit("all"))
-    assert sampling.stratified_sample(df, "kind", ["id"]).count() == df.count()
-    assert sampling.stratified_sample(df.limit(0), "kind", ["id"]).count() == 0
+    assert sampling.stratified_sample(df, "kind", ["id"], Stage(spark)).count() == df.count()
+    assert sampling.stratified_sample(df.limit(0), "kind", ["id"], Stage(spark)).count() == 0
 
 
 def test_sample_refuses_a_key_that_does_not_identify_rows(spark):
     df = spark.range(100_000).selectExpr("1 AS same", "'all' AS kind")
     unit = df.limit(1).select(sampling.hash_unit(["same"], 42)).first()[0]
     try:
-        n = sampling.stratified_sample(df, "kind", ["same"], total=100).count()
+        n = sampling.stratified_sample(df, "kind", ["same"], Stage(spark), total=100).count()
     except ValueError as error:
         assert "does not identify rows" in str(error)
     else:

@@ -57,7 +57,7 @@ def test_hour_keys_over_years(spark):
     moments = [datetime(y, m, d, h) for y in (2020, 2021, 2024) for m, d, h in ((1, 1, 0), (6, 15, 12), (12, 31, 23))]
     rows = [(m, m, 1.0, 1.0, 1.0, 1) for m in moments * 2]
     random.Random(1).shuffle(rows)
-    out = star.build_dim_datetime(trips(spark, *rows)).orderBy("datetime_id").collect()
+    out = star.build_dim_datetime(trips(spark, *rows), Stage(spark)).orderBy("datetime_id").collect()
     assert [r["full_datetime"] for r in out] == moments
     assert [r["datetime_id"] for r in out] == list(range(1, 10))
     first = out[3].asDict()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.config import PICKUP, QualityConfig
-from tripmill.functions.columns import ntz
+from tripmill.functions.columns import hour_floor, ntz
 from tripmill.operators.star import Star, distinct_hours
 
 PREVIEW_ROWS = 5
@@ -42,11 +42,24 @@ class StarChecker:
         hours = self.star.dim_datetime.select("full_datetime")
         return distinct_hours(self.trips).join(hours, "full_datetime", "left_anti")
 
+    def _input_counts(self, with_hours: bool) -> DataFrame:
+        measures = [F.count("*").alias("input_rows"), F.count_if(self._outside(F.col(PICKUP))).alias("input_outside")]
+        if not with_hours:
+            return self.trips.agg(*measures)
+        by_hour = self.trips.groupBy(hour_floor(F.col(PICKUP)).alias("full_datetime")).agg(*measures)
+        hours = self.star.dim_datetime.select("full_datetime", F.lit(True).alias("known"))
+        hours = F.broadcast(hours) if self.star.hours_are_small else hours
+        missing = F.count_if(F.col("full_datetime").isNotNull() & F.col("known").isNull())
+        return by_hour.join(hours, "full_datetime", "left").agg(
+            F.sum("input_rows").alias("input_rows"),
+            F.sum("input_outside").alias("input_outside"),
+            missing.alias("hours_missing"),
+        )
+
     def _fact_counts(self, with_range: bool) -> DataFrame:
-        """Counts per hour key before the join, so that the join sees hours and not trips."""
         fact = self.star.fact_trips
         negatives = {f"fact_{c}": F.count_if(F.col(c) < 0) for c in self._checked(fact)}
-        measures = {"fact_rows": F.count(F.lit(1)), **negatives}
+        measures = {"fact_rows": F.count("*"), **negatives}
         if not with_range:
             return fact.agg(*[m.alias(n) for n, m in measures.items()])
         by_hour = fact.groupBy("datetime_id").agg(*[m.alias(n) for n, m in measures.items()])
@@ -55,18 +68,19 @@ class StarChecker:
         return joined.agg(*[F.sum(n).alias(n) for n in measures], outside.alias("fact_outside"))
 
     def _frames(self, checks: Sequence[str]) -> list[DataFrame]:
+        """Counts per table. Rows are counted per hour before a join with the hours, so that the join sees
+        hours and not trips."""
         star, frames = self.star, []
-        if {"row_count", "input_range"} & set(checks):
-            outside = F.count_if(self._outside(F.col(PICKUP)))
-            frames.append(self.trips.agg(F.count(F.lit(1)).alias("input_rows"), outside.alias("input_outside")))
+        if {"row_count", "input_range", "hour_coverage"} & set(checks):
+            frames.append(self._input_counts("hour_coverage" in checks))
         if {"row_count", "non_negative", "fact_range"} & set(checks):
             frames.append(self._fact_counts("fact_range" in checks and "datetime_id" in star.fact_trips.columns))
         if "non_negative" in checks and self._checked(star.dim_fare):
-            frames.append(star.dim_fare.agg(*[F.count_if(F.col(c) < 0).alias(f"fare_{c}") for c in self._checked(star.dim_fare)]))
-        if "hour_coverage" in checks:
-            frames.append(self.missing_hours().agg(F.count(F.lit(1)).alias("hours_missing")))
+            negatives = [F.count_if(F.col(c) < 0).alias(f"fare_{c}") for c in self._checked(star.dim_fare)]
+            frames.append(star.dim_fare.agg(*negatives))
         if "hour_range" in checks:
-            frames.append(star.dim_datetime.agg(F.count_if(self._outside(F.col("full_datetime"))).alias("hours_outside")))
+            outside = F.count_if(self._outside(F.col("full_datetime")))
+            frames.append(star.dim_datetime.agg(outside.alias("hours_outside")))
         return frames
 
     def _violations(self, checks: Sequence[str]) -> list[tuple[str, Column]]:

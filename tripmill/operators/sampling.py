@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmill.session import Stage
+
 SAMPLE_ROWS = 50_000
 STRATUM_FLOOR = 100
 
@@ -28,6 +30,7 @@ def stratified_sample(
     df: DataFrame,
     stratum: str,
     key: Sequence[str],
+    stage: Stage,
     total: int = SAMPLE_ROWS,
     floor: int = STRATUM_FLOOR,
     seed: int = 42,
@@ -35,18 +38,18 @@ def stratified_sample(
     """The rows with the smallest hashes of each stratum, exactly as many as ``stratum_targets`` says.
 
     ``key`` must identify a row, and strata must be few. A hash bound lets through slightly more rows than
-    wanted, and only those are ranked, so the window sees about ``total`` rows whatever the input. In the
-    rare case that too few come through, the bound is raised until there are enough.
+    wanted; those are stored and only they are ranked, so the window sees about ``total`` rows whatever the
+    input. In the rare case that too few come through, the bound is raised until there are enough. The
+    input is read twice: for the sizes and for the candidates.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
     targets = stratum_targets(sizes, total, floor)
     if not targets:
         return df
     hashed = df.withColumn("_unit", hash_unit(key, seed))
-    margin = {s: n + 6 * math.sqrt(n) + 20 for s, n in targets.items()}
-    bounds = {s: min(1.0, margin[s] / sizes[s]) for s in targets}
+    bounds = {s: min(1.0, (n + 6 * math.sqrt(n) + 20) / sizes[s]) for s, n in targets.items()}
     while True:
-        candidates = hashed.filter(F.col("_unit") < _by_stratum(stratum, bounds))
+        candidates = stage.save(hashed.filter(F.col("_unit") < _by_stratum(stratum, bounds)), "candidates")
         found = {r[0]: r[1] for r in candidates.groupBy(stratum).count().collect()}
         short = [s for s, n in targets.items() if found.get(s, 0) < n]
         if not short:

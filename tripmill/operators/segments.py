@@ -43,20 +43,23 @@ def scaled(features: Sequence[str] = FEATURES) -> list[str]:
     return [f"{c}_scaled" for c in features]
 
 
+def _one_if_zero(deviation: Column) -> Column:
+    return F.coalesce(F.nullif(deviation, F.lit(0.0)), F.lit(1.0))
+
+
+def scale(df: DataFrame, means: dict[str, Column], deviations: dict[str, Column]) -> DataFrame:
+    return df.withColumns({name: (F.col(c) - means[c]) / deviations[c] for c, name in zip(means, scaled(list(means)))})
+
+
 def standardise(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Zero mean and unit population deviation; a constant feature is only centred.
 
     The statistics are one scalar subquery, so the step stays lazy.
     """
     parts = [F.avg(c).alias(f"{c}_mean") for c in features]
-    parts += [F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias(f"{c}_deviation") for c in features]
+    parts += [_one_if_zero(F.stddev_pop(c)).alias(f"{c}_deviation") for c in features]
     statistics = df.agg(F.struct(*parts).alias("statistics")).scalar()
-    return df.withColumns(
-        {
-            name: (F.col(c) - statistics[f"{c}_mean"]) / statistics[f"{c}_deviation"]
-            for c, name in zip(features, scaled(features))
-        }
-    )
+    return scale(df, {c: statistics[f"{c}_mean"] for c in features}, {c: statistics[f"{c}_deviation"] for c in features})
 
 
 def weighted_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -64,11 +67,20 @@ def weighted_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.groupBy(*features).agg(F.count("*").cast("double").alias("weight"))
 
 
+def weighted_statistics(points: DataFrame, features: Sequence[str]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Means and deviations of the rows behind weighted points, as literals. Two passes keep them exact."""
+    total = F.sum("weight")
+    first = points.agg(*[(F.sum(F.col(c) * F.col("weight")) / total).alias(c) for c in features]).first()
+    means = {c: F.lit(first[c]) for c in features}
+    spread = {c: (F.col(c) - means[c]) * (F.col(c) - means[c]) * F.col("weight") for c in features}
+    second = points.agg(*[_one_if_zero(F.sqrt(F.sum(spread[c]) / total)).alias(c) for c in features]).first()
+    return means, {c: F.lit(second[c]) for c in features}
+
+
 def fit(
     points: DataFrame,
     features: Sequence[str],
     k: int,
-    stage: Stage,
     seed: int = 42,
     restarts: int = 10,
     max_iterations: int = 300,
@@ -76,13 +88,12 @@ def fit(
 ) -> Fit:
     """Best of several k-means runs on weighted points. Only centroids and costs reach the driver.
 
-    The points are written once, so a lost executor re-reads them instead of repeating the joins behind
-    them, and cached once for all runs. The block solver works on that one copy. Without points there are
-    no centroids.
+    Pass stored points: a lost executor re-reads them instead of repeating the joins behind them. They are
+    cached once for all runs; the block solver works on that one copy. Without points there are no
+    centroids.
     """
-    stored = stage.save(points.select(*features, "weight"), "points")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    data = assembler.transform(stored).select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    data = assembler.transform(points).select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(number: int) -> tuple[list[list[float]], float]:
         means = KMeans(k=k, seed=seed + number, maxIter=max_iterations, tol=tolerance, weightCol="weight", solver="block")
@@ -116,18 +127,23 @@ def assign(df: DataFrame, centroids: Centroids, features: Sequence[str], name: s
     return df.withColumn(name, nearest)
 
 
-def name_segments(assigned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Name the cluster with the least mean of its raw feature means, and the other one.
+def segment_names(assigned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``(trip_cluster, trip_type)``: the cluster with the least mean of its raw feature means, and the other.
 
-    There is one row per cluster, two in all, which bounds both the window and the broadcast.
+    A ``weight`` column counts rows. There is one row per cluster, two in all, which bounds the window.
     """
-    means = assigned.groupBy("trip_cluster").agg(*[F.avg(c).alias(c) for c in features])
+    weight = F.col("weight") if "weight" in assigned.columns else F.lit(1.0)
+    means = assigned.groupBy("trip_cluster").agg(*[(F.sum(F.col(c) * weight) / F.sum(weight)).alias(c) for c in features])
     level = reduce(add, [F.col(c) for c in features]) / F.lit(float(len(features)))
     place = F.row_number().over(Window.orderBy("level", "trip_cluster"))
-    names = means.select("trip_cluster", level.alias("level")).select(
+    return means.select("trip_cluster", level.alias("level")).select(
         "trip_cluster", F.when(place == 1, SHORT_TRIPS).otherwise(LONG_TRIPS).alias("trip_type")
     )
-    return assigned.join(F.broadcast(names), "trip_cluster")
+
+
+def name_segments(assigned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """Rows with the name of their cluster; the names are one row per cluster and are broadcast."""
+    return assigned.join(F.broadcast(segment_names(assigned, features)), "trip_cluster")
 
 
 def segment_statistics(named: DataFrame) -> DataFrame:
@@ -144,10 +160,24 @@ def segment_sizes(named: DataFrame) -> DataFrame:
 
 
 def trip_segments(trips: DataFrame, stage: Stage, restarts: int = 10, seed: int = 42) -> tuple[DataFrame, Fit]:
-    """Standardise, fit two clusters on the distinct points, assign every trip and name the clusters."""
-    ready = standardise(fill_features(trips))
-    best = fit(weighted_points(ready, scaled()), scaled(), 2, stage, seed=seed, restarts=restarts)
-    return name_segments(assign(ready, best.centroids, scaled(), "trip_cluster")), best
+    """Standardise, fit two clusters, assign every trip and name the clusters.
+
+    Statistics, training and names need only the distinct points, which are stored; the trips are read
+    twice, for the points and for the result.
+    """
+    ready = fill_features(trips)
+    points = stage.save(weighted_points(ready, FEATURES), "points")
+    if points.isEmpty():
+        nothing = F.lit(None).cast("int"), F.lit(None).cast("string")
+        return ready.withColumns({"trip_cluster": nothing[0], "trip_type": nothing[1]}), Fit([], 0.0, [])
+    statistics = weighted_statistics(points, FEATURES)
+    best = fit(scale(points, *statistics), scaled(), 2, seed=seed, restarts=restarts)
+
+    def assigned(df: DataFrame) -> DataFrame:
+        return assign(scale(df, *statistics), best.centroids, scaled(), "trip_cluster")
+
+    names = segment_names(assigned(points))
+    return assigned(ready).join(F.broadcast(names), "trip_cluster"), best
 
 
 def tip_segments(
@@ -157,7 +187,8 @@ def tip_segments(
 
     ``points`` are distinct pairs with weights. Clusters are numbered by the fare of their centroid.
     """
-    best = fit(points, TIP_FEATURES, k, stage, seed=seed, restarts=restarts)
+    points = stage.save(points, "points")
+    best = fit(points, TIP_FEATURES, k, seed=seed, restarts=restarts)
     best = Fit(sorted(best.centroids), best.cost, best.costs)
     counts = assign(points, best.centroids, TIP_FEATURES, "cluster").groupBy("cluster").agg(
         F.sum("weight").cast("bigint").alias("trips")

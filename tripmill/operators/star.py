@@ -129,8 +129,9 @@ def number_hours(hours: DataFrame) -> DataFrame:
     return numbered.select((F.col("_shift") + F.col("_row")).cast("bigint").alias("datetime_id"), *hours.columns)
 
 
-def build_dim_datetime(trips: DataFrame) -> DataFrame:
-    return calendar(number_hours(distinct_hours(trips)))
+def build_dim_datetime(trips: DataFrame, stage: Stage) -> DataFrame:
+    """The distinct hours are stored before they are numbered: numbering reads them twice, the trips once."""
+    return calendar(number_hours(stage.save(distinct_hours(trips), "hours")))
 
 
 def attach_datetime_id(trips: DataFrame, dim_datetime: DataFrame, small: bool) -> DataFrame:
@@ -191,7 +192,7 @@ def build_star(trips: DataFrame, stage: Stage, tables: Store | None = None) -> S
     """
     tables = tables or stage
     derived = add_metrics(trips)
-    dim_datetime = tables.save(build_dim_datetime(derived), "dim_datetime")
+    dim_datetime = tables.save(build_dim_datetime(derived, stage), "dim_datetime")
     hour_rows = dim_datetime.count()
     fact = attach_datetime_id(derived, dim_datetime, fits_broadcast(hour_rows, HOUR_COLUMNS))
     if not money_columns(derived):

@@ -298,7 +298,7 @@ def seasons(p: Prepared) -> DataFrame:
 
 @query("t08_hour_keys")
 def hour_keys(p: Prepared) -> DataFrame:
-    return stars.build_dim_datetime(p.cleaned)
+    return stars.build_dim_datetime(p.cleaned, p.stage)
 
 
 @query("t09_hour_join")
@@ -559,7 +559,7 @@ def segment_sizes(p: Prepared) -> DataFrame:
 @query("m08_sample")
 def sample(p: Prepared) -> DataFrame:
     assigned = segments.assign(p.marts.clustering("event_id"), CENTROIDS, segments.FEATURES, "trip_cluster")
-    drawn = stratified_sample(segments.name_segments(assigned), "trip_type", ["event_id"], total=SAMPLE)
+    drawn = stratified_sample(segments.name_segments(assigned), "trip_type", ["event_id"], p.stage, total=SAMPLE)
     return drawn.groupBy("trip_type").agg(F.count("*").alias("sampled"))
 
 
