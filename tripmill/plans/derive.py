@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,46 +146,39 @@ def shares(counts: DataFrame, column: str = "trip_count") -> DataFrame:
     return counts.withColumn("percent", F.try_divide(F.col(column) * F.lit(100.0), total))
 
 
-def correlation_matrix(
-    df: DataFrame, columns: Sequence[str] = CORRELATED, known: Sequence[str] = ()
-) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """``(row_no, col_no, variable, other, correlation, text)`` for every ordered pair, in one pass.
 
     Each pair uses the rows where both are known, and is null where it is undefined: the built-in ``corr``
-    divides by zero on a constant column under ANSI rules. Only the upper triangle is aggregated. Columns
-    that are ``known`` to hold no null need no guard, so deviations are shared between pairs.
+    divides by zero on a constant column under ANSI rules. Every row becomes one row per variable, combined
+    on the map side into one group each, so the aggregate has one set of moments per column instead of one
+    per pair and stays small enough for code generation.
     """
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    places = range(len(columns))
-
-    def deviation(x: str, y: str) -> Column:
-        both = F.col(x) if y in known or x == y else F.when(F.col(y).isNotNull(), F.col(x))
-        return F.stddev_pop(both)
-
-    moments = {f"d_{i}_{j}": deviation(columns[i], columns[j]) for i in places for j in places}
-    moments |= {f"c_{i}_{j}": F.covar_pop(columns[i], columns[j]) for i, j in combinations(places, 2)}
-    totals = numeric.agg(*[moment.alias(name) for name, moment in moments.items()])
-
-    def pearson(i: int, j: int) -> Column:
-        if i == j:
-            return F.expr(f"CASE WHEN d_{i}_{i} > 0 THEN 1D END")
-        low, high = min(i, j), max(i, j)
-        return F.expr(f"try_divide(c_{low}_{high}, d_{low}_{high} * d_{high}_{low})")
-
+    long = numeric.select("*", F.posexplode(F.array(*columns)).alias("place", "value"))
+    moments = []
+    for j, other in enumerate(columns):
+        moments += [
+            F.covar_pop("value", other).alias(f"covariance{j}"),
+            F.expr(f"stddev_pop(CASE WHEN `{other}` IS NOT NULL THEN value END)").alias(f"own{j}"),
+            F.expr(f"stddev_pop(CASE WHEN value IS NOT NULL THEN `{other}` END)").alias(f"other{j}"),
+        ]
+    names = F.array(*[F.lit(c) for c in columns])
     cells = [
         F.struct(
-            F.lit(i + 1).alias("row_no"),
+            (F.col("place") + 1).alias("row_no"),
             F.lit(j + 1).alias("col_no"),
-            F.lit(columns[i]).alias("variable"),
-            F.lit(columns[j]).alias("other"),
-            pearson(i, j).alias("correlation"),
+            names[F.col("place")].alias("variable"),
+            F.lit(other).alias("other"),
+            F.expr(
+                f"CASE WHEN place <> {j} THEN try_divide(covariance{j}, own{j} * other{j}) WHEN own{j} > 0 THEN 1D END"
+            ).alias("correlation"),
         )
-        for i in places
-        for j in places
+        for j, other in enumerate(columns)
     ]
-    long = totals.select(F.inline(F.array(*cells)))
+    matrix = long.groupBy("place").agg(*moments).select(F.inline(F.array(*cells)))
     text = F.format_string("%.2f", round_even(F.col("correlation")))
-    return long.withColumn("text", F.when(F.col("correlation").isNotNull(), text))
+    return matrix.withColumn("text", F.when(F.col("correlation").isNotNull(), text))
 
 
 def display_names(matrix: DataFrame) -> DataFrame:

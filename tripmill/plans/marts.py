@@ -38,8 +38,6 @@ CORRELATED = (
     "precip",
     "hour",
 )
-# Never null in the correlation mart.
-ALWAYS_KNOWN = ("trip_duration_min", "trip_distance", "fare_amount", "tip_amount", "hour")
 
 
 class Marts:
