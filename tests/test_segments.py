@@ -117,3 +117,10 @@ def test_sample_refuses_a_key_that_does_not_identify_rows(spark):
         assert "does not identify rows" in str(error)
     else:
         assert n == 100, unit
+
+
+def test_sample_of_a_number_of_rows(spark, trips):
+    got = sampling.sample_rows(trips, 50, ["id"], Stage(spark))
+    assert {r["id"] for r in got.collect()} == expected_sample(trips.withColumn("all", F.lit(1)), ["id"], {1: 50}, "all")
+    assert got.columns == trips.columns
+    assert sampling.sample_rows(trips, 10_000, ["id"], Stage(spark)).count() == trips.count()

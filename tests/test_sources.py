@@ -121,3 +121,10 @@ def test_collection_is_one_document_and_reads_back(spark, tmp_path):
     again = files.read_features(spark, str(path))
     assert again.count() == 40
     assert geometry.zone_centroids(again).count() == len(wanted) - sum(i in wanted for i in (5, 6))
+
+
+def test_feature_that_no_record_can_hold(spark, monkeypatch):
+    monkeypatch.setattr(geometry, "RECORD_POINTS", 3)
+    vertices = geometry.reproject(fixtures.vertices(spark, "/root/testdata/sf0.001"))
+    with pytest.raises(ValueError, match="does not fit"):
+        geometry.assemble(vertices, spark.range(1).selectExpr("id AS feature_id", "map('a', 'b') AS properties"))

@@ -62,6 +62,12 @@ def stratified_sample(
     return ranked.filter(F.col("_rank") <= _by_stratum(stratum, targets)).drop("_unit", "_rank")
 
 
+def sample_rows(df: DataFrame, rows: int, key: Sequence[str], stage: Stage, seed: int = 42) -> DataFrame:
+    """Exactly ``rows`` rows, or all if there are fewer: the cap some reports put on their input."""
+    whole = df.withColumn("_all", F.lit(1))
+    return stratified_sample(whole, "_all", key, stage, rows, 0, seed).drop("_all")
+
+
 def _by_stratum(stratum: str, values: Mapping) -> Column:
     cases = F.lit(None)
     for name, value in values.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Protocol
 
 from pyspark.sql import DataFrame, Window
@@ -32,7 +33,8 @@ class Store(Protocol):
 
 @dataclass(frozen=True)
 class Star:
-    """Star tables with the sizes that decide how they are joined.
+    """Stored star tables. The sizes of the dimensions, read from file footers when first needed, decide how
+    they are joined.
 
     ``hot_fares`` holds the few fare combinations with a large share of the trips; it is bounded by
     ``1 / HOT_SHARE`` rows whatever the data.
@@ -41,11 +43,17 @@ class Star:
     dim_datetime: DataFrame
     dim_fare: DataFrame
     fact_trips: DataFrame
-    hot_fares: DataFrame | None
-    hour_rows: int
-    fare_rows: int
+    hot_fares: DataFrame | None = None
     dim_weather: DataFrame | None = None
 
+    @cached_property
+    def hour_rows(self) -> int:
+        return self.dim_datetime.count()
+
+    @cached_property
+    def fare_rows(self) -> int:
+        return self.dim_fare.count()
+
     @property
     def hours_are_small(self) -> bool:
         return fits_broadcast(self.hour_rows, self.dim_datetime.columns)
@@ -193,16 +201,13 @@ def build_star(trips: DataFrame, stage: Stage, tables: Store | None = None) -> S
     tables = tables or stage
     derived = add_metrics(trips)
     dim_datetime = tables.save(build_dim_datetime(derived, stage), "dim_datetime")
-    hour_rows = dim_datetime.count()
-    fact = attach_datetime_id(derived, dim_datetime, fits_broadcast(hour_rows, HOUR_COLUMNS))
+    fact = attach_datetime_id(derived, dim_datetime, fits_broadcast(dim_datetime.count(), HOUR_COLUMNS))
     if not money_columns(derived):
         dim_fare = tables.save(trips.sparkSession.range(1, 2).select(F.col("id").alias("fare_id")), "dim_fare")
-        fact = fact_order(fact.withColumn("fare_id", F.lit(1).cast("bigint")))
-        return Star(dim_datetime, dim_fare, fact, None, hour_rows, 1)
+        return Star(dim_datetime, dim_fare, fact_order(fact.withColumn("fare_id", F.lit(1).cast("bigint"))))
     numbered = number_fares(fare_combinations(derived), stage).select("fare_id", *money_columns(derived), "trips")
     dim_fare = tables.save(numbered.drop("trips"), "dim_fare")
-    fare_rows = dim_fare.count()
-    small = fits_broadcast(fare_rows, dim_fare.columns)
+    small = fits_broadcast(dim_fare.count(), dim_fare.columns)
     # A dimension that is broadcast whole needs no list of hot combinations.
     hot = None if small else tables.save(hot_fares(numbered), "hot_fares")
-    return Star(dim_datetime, dim_fare, attach_fare_id(fact, dim_fare, hot, small), hot, hour_rows, fare_rows)
+    return Star(dim_datetime, dim_fare, attach_fare_id(fact, dim_fare, hot, small), hot)

@@ -194,12 +194,13 @@ class Marts:
     def weather_scatter(self) -> DataFrame:
         return self._weather("temp").groupBy("temp").agg(self._trips()).orderBy("temp")
 
-    # -- inputs of correlation and segmentation --------------------------------------------------
+    # -- inputs of correlation and segmentation, one row per trip --------------------------------
+    # ``also`` names further fact columns to carry, such as a row key for sampling.
 
-    def correlation(self) -> DataFrame:
+    def correlation(self, *also: str) -> DataFrame:
         """Nine numeric columns per trip, all trips. Hours and weather are one small table."""
         facts = self.facts.filter("trip_duration_min IS NOT NULL AND trip_distance IS NOT NULL").select(
-            "datetime_id", "fare_id", "trip_duration_min", "trip_distance", "passenger_count"
+            "datetime_id", "fare_id", "trip_duration_min", "trip_distance", "passenger_count", *also
         )
         hours = self.star.dim_datetime.filter(self._wanted).select("datetime_id", "hour")
         weather = self.star.dim_weather.select("datetime_id", "temp", "precip")
@@ -207,10 +208,9 @@ class Marts:
         small = fits_broadcast(self.star.hour_rows, hours.columns)
         placed = facts.join(F.broadcast(hours) if small else hours, "datetime_id")
         priced = self.star.with_fares(placed, "fare_amount", "tip_amount", "total_amount")
-        return priced.filter("fare_amount IS NOT NULL AND tip_amount IS NOT NULL").select(*CORRELATED)
+        return priced.filter("fare_amount IS NOT NULL AND tip_amount IS NOT NULL").select(*CORRELATED, *also)
 
     def clustering(self, *also: str) -> DataFrame:
-        """Trips to be segmented; ``also`` names further fact columns to carry, such as a row key."""
         duration, distance = F.col("trip_duration_min"), F.col("trip_distance")
         facts = self.facts.filter((duration > 0) & (duration < 180) & (distance > 0) & (distance < 100))
         placed = self._in_years(
@@ -228,10 +228,12 @@ class Marts:
             *also,
         )
 
-    def cluster_data(self) -> DataFrame:
-        facts = self.facts.filter("trip_distance IS NOT NULL").select("datetime_id", "fare_id", "trip_distance")
+    def cluster_data(self, *also: str) -> DataFrame:
+        facts = self.facts.filter("trip_distance IS NOT NULL").select("datetime_id", "fare_id", "trip_distance", *also)
         priced = self.star.with_fares(self._in_years(facts), "tip_amount", "fare_amount")
-        return priced.filter("tip_amount IS NOT NULL AND fare_amount IS NOT NULL").select("tip_amount", "fare_amount", "trip_distance")
+        return priced.filter("tip_amount IS NOT NULL AND fare_amount IS NOT NULL").select(
+            "tip_amount", "fare_amount", "trip_distance", *also
+        )
 
     def tip_points(self) -> DataFrame:
         """``cluster_data`` as distinct fare and tip pairs with their weight."""

@@ -78,17 +78,17 @@ class Warehouse:
         return self.spark.table(self.name(table)).drop(PARTITION)
 
     def load_star(self, suffix: str = "") -> Star:
-        """The stored star. Row counts come from file footers; the fact keeps its partition column, which
-        lets marts prune months."""
-        dim_datetime, dim_fare = self.table(f"dim_datetime{suffix}"), self.table(f"dim_fare{suffix}")
+        """The stored star. The fact keeps its partition column, which lets marts prune months."""
+
+        def optional(table: str) -> DataFrame | None:
+            return self.table(table + suffix) if self.exists(table + suffix) else None
+
         return Star(
-            dim_datetime=dim_datetime,
-            dim_fare=dim_fare,
+            dim_datetime=self.table(f"dim_datetime{suffix}"),
+            dim_fare=self.table(f"dim_fare{suffix}"),
             fact_trips=self.spark.table(self.name(f"fact_trips{suffix}")),
-            hot_fares=self.table(f"hot_fares{suffix}") if self.exists(f"hot_fares{suffix}") else None,
-            hour_rows=dim_datetime.count(),
-            fare_rows=dim_fare.count(),
-            dim_weather=self.table(f"dim_weather{suffix}") if self.exists(f"dim_weather{suffix}") else None,
+            hot_fares=optional("hot_fares"),
+            dim_weather=optional("dim_weather"),
         )
 
     def drop(self, tables: Iterable[str]) -> None:
