@@ -6,6 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tripmill import fixtures
+from tripmill.functions.columns import hour_floor
 from tripmill.operators import keys, star
 from tripmill.operators.cleaning import TripCleaner
 from tripmill.session import Stage
@@ -53,6 +54,13 @@ def test_hours_do_not_follow_a_time_zone(spark):
     assert [r["full_datetime"] for r in hours] == [at(2)]
 
 
+def test_hours_of_any_age(spark):
+    moments = [datetime(1, 1, 1, 5, 7), datetime(1969, 12, 31, 22, 59, 59, 999999), datetime(1969, 12, 31, 23), datetime(9999, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(m,) for m in moments], "t timestamp_ntz")
+    got = [r[0] for r in df.select(hour_floor(F.col("t"))).collect()]
+    assert got == [m.replace(minute=0, second=0, microsecond=0) for m in moments]
+
+
 def test_hour_keys_over_years(spark):
     moments = [datetime(y, m, d, h) for y in (2020, 2021, 2024) for m, d, h in ((1, 1, 0), (6, 15, 12), (12, 31, 23))]
     rows = [(m, m, 1.0, 1.0, 1.0, 1) for m in moments * 2]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.config import PICKUP, QualityConfig
-from tripmill.functions.columns import hour_floor, ntz
+from tripmill.functions.columns import hour_number, ntz
 from tripmill.operators.star import Star, distinct_hours
 
 PREVIEW_ROWS = 5
@@ -46,11 +46,11 @@ class StarChecker:
         measures = [F.count("*").alias("input_rows"), F.count_if(self._outside(F.col(PICKUP))).alias("input_outside")]
         if not with_hours:
             return self.trips.agg(*measures)
-        by_hour = self.trips.groupBy(hour_floor(F.col(PICKUP)).alias("full_datetime")).agg(*measures)
-        hours = self.star.dim_datetime.select("full_datetime", F.lit(True).alias("known"))
+        by_hour = self.trips.groupBy(hour_number(F.col(PICKUP)).alias("hour")).agg(*measures)
+        hours = self.star.dim_datetime.select(hour_number(F.col("full_datetime")).alias("hour"), F.lit(True).alias("known"))
         hours = F.broadcast(hours) if self.star.hours_are_small else hours
-        missing = F.count_if(F.col("full_datetime").isNotNull() & F.col("known").isNull())
-        return by_hour.join(hours, "full_datetime", "left").agg(
+        missing = F.count_if(F.col("hour").isNotNull() & F.col("known").isNull())
+        return by_hour.join(hours, "hour", "left").agg(
             F.sum("input_rows").alias("input_rows"),
             F.sum("input_outside").alias("input_outside"),
             missing.alias("hours_missing"),

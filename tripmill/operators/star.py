@@ -13,7 +13,8 @@ from tripmill.config import DROPOFF, MONEY_COLUMNS, PICKUP
 from tripmill.functions.columns import (
     as_timestamp,
     finite_or_zero,
-    hour_floor,
+    hour_number,
+    hour_start,
     nan_to_null,
     round_even,
     season,
@@ -102,7 +103,8 @@ def add_metrics(trips: DataFrame) -> DataFrame:
 
 def distinct_hours(trips: DataFrame) -> DataFrame:
     pickup = as_timestamp(trips, PICKUP)
-    return trips.filter(pickup.isNotNull()).select(hour_floor(pickup).alias("full_datetime")).distinct()
+    hours = trips.filter(pickup.isNotNull()).select(hour_number(pickup).alias("number")).distinct()
+    return hours.select(hour_start(F.col("number")).alias("full_datetime"))
 
 
 def calendar(hours: DataFrame) -> DataFrame:
@@ -144,9 +146,9 @@ def build_dim_datetime(trips: DataFrame, stage: Stage) -> DataFrame:
 
 def attach_datetime_id(trips: DataFrame, dim_datetime: DataFrame, small: bool) -> DataFrame:
     """Left join on the pickup hour; a trip without pickup time keeps a null id."""
-    hours = dim_datetime.select("datetime_id", F.col("full_datetime").alias("_hour"))
+    hours = dim_datetime.select("datetime_id", hour_number(F.col("full_datetime")).alias("_hour"))
     hours = F.broadcast(hours) if small else hours
-    return trips.join(hours, hour_floor(as_timestamp(trips, PICKUP)) == F.col("_hour"), "left").drop("_hour")
+    return trips.join(hours, hour_number(as_timestamp(trips, PICKUP)) == F.col("_hour"), "left").drop("_hour")
 
 
 # -- fare dimension ----------------------------------------------------------------------------------
