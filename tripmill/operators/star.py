@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tripmill.config import DROPOFF, MONEY_COLUMNS, PICKUP
 from tripmill.functions.columns import (
     as_timestamp,
+    day_of_week,
     finite_or_zero,
     hour_number,
     hour_start,
@@ -64,8 +65,12 @@ class Star:
         return fits_broadcast(self.fare_rows, self.dim_fare.columns)
 
     def with_hours(self, df: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
-        """Add hour attributes to a frame that has ``datetime_id``."""
-        hours = self.dim_datetime.select("datetime_id", *columns)
+        """Add hour attributes to a frame that has ``datetime_id``.
+
+        ``day_of_week`` is computed on the dimension, once per hour and not once per trip.
+        """
+        hours = self.dim_datetime.withColumn("day_of_week", day_of_week(F.col("full_datetime")))
+        hours = hours.select("datetime_id", *columns)
         return df.join(F.broadcast(hours) if self.hours_are_small else hours, "datetime_id", how)
 
     def with_fares(self, facts: DataFrame, *columns: str) -> DataFrame:

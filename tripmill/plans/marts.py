@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.config import MartConfig
-from tripmill.functions.columns import day_of_week, round_half_up
+from tripmill.functions.columns import round_half_up
 from tripmill.operators.keys import fits_broadcast
 from tripmill.operators.star import Star
 from tripmill.session import Stage
@@ -97,13 +97,12 @@ class Marts:
         return grouped.orderBy("year", "month")
 
     def weekday(self) -> DataFrame:
-        hours = self._hours("full_datetime").withColumn("day_of_week", day_of_week(F.col("full_datetime")))
-        return hours.groupBy("day_of_week").agg(self._average_minutes(), self._trips()).orderBy("day_of_week")
+        grouped = self._hours("day_of_week").groupBy("day_of_week").agg(self._average_minutes(), self._trips())
+        return grouped.orderBy("day_of_week")
 
     def heatmap(self) -> DataFrame:
         """Years are merged, as the groups are month and day of week only."""
-        hours = self._hours("month", "full_datetime").withColumn("day_of_week", day_of_week(F.col("full_datetime")))
-        return hours.groupBy("month", "day_of_week").agg(self._trips())
+        return self._hours("month", "day_of_week").groupBy("month", "day_of_week").agg(self._trips())
 
     def hourly(self) -> DataFrame:
         return self._hours("hour").groupBy("hour").agg(self._trips(), self._average_minutes()).orderBy("hour")
@@ -113,9 +112,9 @@ class Marts:
     def fare_weekday(self) -> DataFrame:
         """Three-table join. Trips shrink to one row per fare combination with seven day counters; that
         aggregate is already placed by ``fare_id``, so the join moves only the dimension."""
-        facts = self._in_years(self.facts.select("datetime_id", "fare_id"), "full_datetime")
-        day = day_of_week(F.col("full_datetime"))
-        per_fare = facts.groupBy("fare_id").agg(*[F.count_if(day == d).alias(f"day{d}") for d in range(7)])
+        facts = self._in_years(self.facts.select("datetime_id", "fare_id"), "day_of_week")
+        days = [F.count_if(F.col("day_of_week") == d).alias(f"day{d}") for d in range(7)]
+        per_fare = facts.groupBy("fare_id").agg(*days)
         money = {"total_revenue": "total_amount", "total_fare": "fare_amount", "total_tip": "tip_amount"}
         dim = self.star.dim_fare.select("fare_id", *money.values())
         priced = per_fare.join(F.broadcast(dim) if self.star.fares_are_small else dim, "fare_id")
@@ -214,14 +213,14 @@ class Marts:
         duration, distance = F.col("trip_duration_min"), F.col("trip_distance")
         facts = self.facts.filter((duration > 0) & (duration < 180) & (distance > 0) & (distance < 100))
         placed = self._in_years(
-            facts.select("datetime_id", "fare_id", "trip_duration_min", "trip_distance", *also), "hour", "full_datetime"
+            facts.select("datetime_id", "fare_id", "trip_duration_min", "trip_distance", *also), "hour", "day_of_week"
         )
         priced = self.star.with_fares(placed, "fare_amount", "total_amount", "tip_amount").filter("fare_amount > 0")
         return priced.select(
             "trip_duration_min",
             "trip_distance",
             "hour",
-            day_of_week(F.col("full_datetime")).alias("day_of_week"),
+            "day_of_week",
             "fare_amount",
             "total_amount",
             "tip_amount",
