@@ -4,10 +4,12 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from tripmill import oracle
+from tripmill import queries as registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.sql()
 TRAINED = {"m03_trip_segments", "m09_tip_clusters", "m10_tip_centroids"}
 
 
@@ -16,6 +18,11 @@ def duck():
     return connect(SF_DIR)
 
 
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_only_trained_models_lack_sql():
     assert set(QUERIES) - set(ORACLE) == TRAINED
     assert set(ORACLE) <= set(QUERIES)
