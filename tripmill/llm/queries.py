@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe
+from tripmill.llm import bpe, licenses, toxicity
 from tripmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,5 +33,39 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["word"])
+    base_labels = F.transform(base, lambda p: p["label"])
+    all_labels = F.concat(F.transform("places", lambda p: p["label"]), "expression_labels")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base_labels).alias("base_labels"),
+        joined(all_labels).alias("labels"),
+        "score",
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_bpe": op4_bpe}
+    return {
+        "op2_licenses": op2_licenses,
+        "op4_bpe": op4_bpe,
+        "op5_toxicity": op5_toxicity,
+    }
