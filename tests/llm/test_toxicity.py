@@ -63,7 +63,7 @@ def test_nothing_but_text_counts(spark):
     labels = docs.select("doc_id", F.when(F.col("text").contains("idiot"), 1).otherwise(0).alias("toxic"))
     model = toxicity.train(docs, labels)
     scores = model.scores(pa.array(["some idiot here", "some friend here", ""]))
-    assert scores[0] > 0.9 and scores[1] < 0.5
+    assert scores[0] > 0.5 > scores[1] and scores[0] > scores[1] + 0.3
     # The order of rows and other columns make no difference.
     again = toxicity.train(docs.select("text", "doc_id").orderBy(F.desc("doc_id")), labels)
     assert np.allclose(again.scores(pa.array(["some idiot here"])), scores[:1], atol=1e-6)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, licenses, toxicity
-from tripmill.llm.common import read
+from tripmill.llm import bpe, licenses, simhash, toxicity
+from tripmill.llm.common import checkpointed, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,9 +63,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = checkpointed(simhash.fingerprints(read(spark, sf_dir, "documents")))
+    found = simhash.near_duplicates(prints)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_licenses": op2_licenses,
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
+        "op6_simhash": op6_simhash,
     }
