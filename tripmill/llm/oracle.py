@@ -3,5 +3,13 @@
 from __future__ import annotations
 
 
+EXACT_DEDUP = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_dedup": EXACT_DEDUP}
