@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, exact_dedup, licenses, simhash, toxicity
+from tripmill.llm import bpe, decontaminate, exact_dedup, licenses, simhash, toxicity
 from tripmill.llm.common import checkpointed, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -77,6 +81,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_licenses": op2_licenses,
+        "op3_decontaminate": op3_decontaminate,
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
         "op6_simhash": op6_simhash,
