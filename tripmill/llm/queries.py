@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, decontaminate, exact_dedup, licenses, simhash, toxicity
+from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, simhash, toxicity
 from tripmill.llm.common import checkpointed, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_spans(read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -85,5 +89,6 @@ def queries() -> dict[str, Query]:
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
         "op6_simhash": op6_simhash,
+        "op8_chunk_dedup": op8_chunk_dedup,
         "op9_exact_dedup": op9_exact_dedup,
     }
