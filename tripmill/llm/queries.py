@@ -7,9 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, simhash, toxicity
+from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, simhash, toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
+# The rules that pages are judged by.
+URL_RULES = (
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -82,6 +91,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_licenses": op2_licenses,
@@ -91,4 +104,5 @@ def queries() -> dict[str, Query]:
         "op6_simhash": op6_simhash,
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_url_filter": op10_url_filter,
     }
