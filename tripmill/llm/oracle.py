@@ -18,18 +18,18 @@ WITH rules(verdict, host, path) AS (
 ), rests AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parsed AS (
-  SELECT row_number() OVER () AS at, page_id,
+  SELECT row_number() OVER () AS page, page_id,
          translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM rests
 ), fits AS (
-  SELECT p.at, arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict), length(r.host || r.path)) AS best
+  SELECT p.page, arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict), length(r.host || r.path)) AS best
   FROM parsed p JOIN rules r
     ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
-  GROUP BY p.at
+  GROUP BY p.page
 )
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
-FROM parsed LEFT JOIN fits USING (at)
+FROM parsed LEFT JOIN fits USING (page)
 """
 
 

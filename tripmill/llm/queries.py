@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, simhash, toxicity, url_filter
+from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, line_dedup, simhash, toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
 # The rules that pages are judged by.
@@ -82,6 +82,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.duplicate_lines(read(spark, sf_dir, "documents"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_spans(read(spark, sf_dir, "documents"))
 
@@ -102,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op4_bpe": op4_bpe,
         "op5_toxicity": op5_toxicity,
         "op6_simhash": op6_simhash,
+        "op7_line_dedup": op7_line_dedup,
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_url_filter": op10_url_filter,
