@@ -13,8 +13,9 @@ character there has another normal form; the file's own normaliser and splitter
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,8 @@ class WordBpe:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.starts = self.lengths = self.pool = np.zeros(0, np.int64)
+        self.starts = self.lengths = self.pool = np.zeros(1024, np.int64)
+        self.used = 0
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and how many each word has. No word is empty."""
@@ -116,7 +118,7 @@ class WordBpe:
         order = np.argsort(owners, kind="stable")
         return ids[order], np.bincount(owners, minlength=len(words))
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         """Merge the words that are not cached yet."""
         new = [w for w in dict.fromkeys(words) if w not in self.index]
         while new:
@@ -126,11 +128,15 @@ class WordBpe:
                 count += 1
             batch, new = new[:count], new[count:]
             ids, lengths = self.merge([w.encode() for w in batch])
-            starts = len(self.pool) + np.cumsum(lengths) - lengths
-            self.index.update(zip(batch, range(len(self.starts), len(self.starts) + count)))
-            self.starts = np.r_[self.starts, starts]
-            self.lengths = np.r_[self.lengths, lengths]
-            self.pool = np.r_[self.pool, ids]
+            known, used = len(self.index), self.used
+            self.starts = _room(self.starts, known, count)
+            self.lengths = _room(self.lengths, known, count)
+            self.pool = _room(self.pool, used, len(ids))
+            self.starts[known : known + count] = used + np.cumsum(lengths) - lengths
+            self.lengths[known : known + count] = lengths
+            self.pool[used : used + len(ids)] = ids
+            self.used += len(ids)
+            self.index.update(zip(batch, range(known, known + count)))
 
     def words(self, text: str) -> list[str]:
         if not _WIDE.search(text):
@@ -145,28 +151,34 @@ class WordBpe:
         pieces = splitter.pre_tokenize_str(normalizer.normalize_str(text))
         return [bytes(map(self._byte.__getitem__, piece)).decode() for piece, _ in pieces]
 
-    def encode_plain(self, text: str) -> np.ndarray:
-        words = self.words(text)
-        if not words:
-            return np.zeros(0, np.int64)
+    def pieces(self, text: str) -> list[str]:
+        """Words of a text in order; a special token is a piece of its own, marked by a space before it."""
+        pieces, begin = [], 0
+        for found in self.split.finditer(text):
+            pieces += [*self.words(text[begin : found.start()]), f" {found[0]}"]
+            begin = found.end()
+        return pieces + self.words(text[begin:]) if begin else self.words(text)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each text has. New words of all texts are merged together."""
         if len(self.index) > CACHED_WORDS:
             self.clear()
-        try:
-            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            self.learn(words)
-            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if not self.index:
+            for token, i in self.special.items():
+                known = len(self.index)
+                self.starts[known], self.lengths[known], self.pool[self.used] = self.used, 1, i
+                self.index[f" {token}"] = known
+                self.used += 1
+        pieces = [self.pieces(text) for text in texts]
+        self.learn(chain.from_iterable(pieces))
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(pieces)), np.int64, sizes.sum())
         counts = self.lengths[at]
         ends = np.cumsum(counts)
-        return self.pool[np.repeat(self.starts[at] - ends + counts, counts) + np.arange(ends[-1])]
-
-    def encode(self, text: str) -> np.ndarray:
-        parts, begin = [], 0
-        for found in self.split.finditer(text):
-            parts += [self.encode_plain(text[begin : found.start()]), [self.special[found[0]]]]
-            begin = found.end()
-        parts.append(self.encode_plain(text[begin:]))
-        return np.concatenate(parts).astype(np.int32) if len(parts) > 1 else parts[0].astype(np.int32)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(self.starts[at] - ends + counts, counts) + np.arange(total)]
+        before = np.r_[0, ends][np.r_[0, np.cumsum(sizes)]]
+        return ids.astype(np.int32), np.diff(before)
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder, so tokens are joined by one space."""
@@ -178,9 +190,25 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.r_[0, np.cumsum([len(a) for a in arrays])].astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *arrays]))
+def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array itself or, where ``more`` entries don't fit behind ``used``, a copy of at least twice its size."""
+    if used + more <= len(array):
+        return array
+    larger = np.zeros(max(2 * len(array), used + more), array.dtype)
+    larger[:used] = array[:used]
+    return larger
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Runs of rows whose texts have about BATCH_BYTES together, so that ids and decoded texts stay small."""
+    begin = size = 0
+    texts: list[str] = []
+    for i, value in enumerate(batch.column(column)):
+        texts.append(value.as_py())
+        size += len(texts[-1])
+        if size >= BATCH_BYTES or i + 1 == batch.num_rows:
+            yield batch.slice(begin, len(texts)), texts
+            begin, size, texts = i + 1, 0, []
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", decoded: bool = True) -> DataFrame:
@@ -196,13 +224,13 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(path)
         for batch in batches:
-            # Small slices bound the ids and decoded texts held at once.
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                arrays = [model.encode(t.as_py()) for t in part.column(1)]
-                columns = [part.column(0), _lists(arrays)]
+            for part, texts in _slices(batch, 1):
+                ids, counts = model.encode(texts)
+                offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
+                columns = [part.column(0), pa.ListArray.from_arrays(offsets, ids)]
                 if decoded:
-                    columns.append(pa.array([model.decode(a.tolist()) for a in arrays], pa.string()))
+                    listed, ends = ids.tolist(), offsets.tolist()
+                    columns.append(pa.array([model.decode(listed[a:b]) for a, b in zip(ends, ends[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
     return source.mapInArrow(run, T.StructType(fields))
