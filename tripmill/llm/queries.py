@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, line_dedup, simhash, toxicity, url_filter
+from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash, toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
 # The rules that pages are judged by.
@@ -42,6 +42,10 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan(read(spark, sf_dir, "documents"))
     base = F.filter("places", lambda p: p["base"])
@@ -101,6 +105,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality": op1_quality,
         "op2_licenses": op2_licenses,
         "op3_decontaminate": op3_decontaminate,
         "op4_bpe": op4_bpe,
