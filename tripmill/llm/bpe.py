@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.llm.common import text_of
@@ -248,3 +249,20 @@ def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [f.name for f in fields])
 
     return source.mapInArrow(run, T.StructType(fields))
+
+
+def public_vocabulary() -> str:
+    """Where the installed vocabulary "word_bpe_49k" is; it has to be in the same place on all executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, number of tokens, SHA-256 of the ids and of the decoded text."""
+    return encode(docs, path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

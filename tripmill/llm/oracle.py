@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 
 EXACT_DEDUP = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -34,4 +36,5 @@ FROM parsed LEFT JOIN fits USING (page)
 
 
 def sql() -> dict[str, str]:
-    return {"op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER}
+    twins = {"op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: twin for name, twin in twins.items() if twin}

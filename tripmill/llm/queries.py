@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash, toxicity, url_filter
+import corpus_pipeline
+from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash
+from tripmill.llm import toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
 # The rules that pages are judged by.
@@ -22,26 +24,6 @@ URL_RULES = (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def vocabulary_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
-def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(read(spark, sf_dir, "documents"))
-
-
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    encoded = bpe.encode(docs, vocabulary_path())
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
-
-
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -69,6 +51,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents"), bpe.public_vocabulary())
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -115,4 +101,5 @@ def queries() -> dict[str, Query]:
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_url_filter": op10_url_filter,
+        "pipeline": corpus_pipeline.run,
     }
