@@ -51,6 +51,12 @@ def test_very_long_word_and_small_cache(monkeypatch):
         assert encode(text) == expected(text)
 
 
+def test_fresh_model():
+    for texts in (["a"], ["one two", "", "two three, it's"], ["x y z " * 400, "<|endoftext|> one"]):
+        ids, counts = bpe.WordBpe(PATH).encode(texts)
+        assert ids.tolist() == [i for t in texts for i in expected(t)] and counts.tolist() == [len(expected(t)) for t in texts]
+
+
 def test_null_empty_repeated_extra_columns(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "Hello, World", "x"), (3, "Hello, World", "x"), (None, "a", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")

@@ -76,7 +76,7 @@ class WordBpe:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.starts = self.lengths = self.pool = np.zeros(1024, np.int64)
+        self.starts, self.lengths, self.pool = (np.zeros(1024, np.int64) for _ in range(3))
         self.used = 0
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
