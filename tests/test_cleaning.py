@@ -122,9 +122,9 @@ def test_codes_and_times_from_text(spark):
         "tpep_dropoff_datetime": "timestamp_ntz",
         "payment_type": "bigint",
         "rate_code": "bigint",
-        "pickup_location_id": "double",
+        "pickup_location_id": "bigint",
     }
-    assert [tuple(r) for r in out.collect()] == [(START, START + timedelta(minutes=30), 1, 2, 7.0)]
+    assert [tuple(r) for r in out.collect()] == [(START, START + timedelta(minutes=30), 1, 2, 7)]
 
 
 def test_rules_on_absent_columns_are_left_out(spark):

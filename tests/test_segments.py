@@ -95,11 +95,13 @@ def test_sample_is_exact_and_stable(spark, trips, partitions):
     assert sample.columns == df.columns
 
 
-def test_sample_tops_up_when_the_bound_was_short(spark, trips, monkeypatch):
-    monkeypatch.setattr(sampling.math, "sqrt", lambda n: -n / 7.0)
+def test_sample_with_few_bins(spark, trips, monkeypatch):
     df = trips.withColumn("kind", F.lit("all"))
-    got = {r["id"] for r in sampling.stratified_sample(df, "kind", ["id"], Stage(spark), total=500).collect()}
-    assert got == expected_sample(df, ["id"], {"all": 500}, "kind")
+    for bins, levels in ((2, 1), (2, 3), (1 << 12, 2)):
+        monkeypatch.setattr(sampling, "_BINS", bins)
+        monkeypatch.setattr(sampling, "_LEVELS", levels)
+        got = {r["id"] for r in sampling.stratified_sample(df, "kind", ["id"], Stage(spark), total=500).collect()}
+        assert got == expected_sample(df, ["id"], {"all": 500}, "kind")
 
 
 def test_sample_of_everything_and_of_nothing(spark, trips):
@@ -108,15 +110,11 @@ def test_sample_of_everything_and_of_nothing(spark, trips):
     assert sampling.stratified_sample(df.limit(0), "kind", ["id"], Stage(spark)).count() == 0
 
 
-def test_sample_refuses_a_key_that_does_not_identify_rows(spark):
-    df = spark.range(100_000).selectExpr("1 AS same", "'all' AS kind")
-    unit = df.limit(1).select(sampling.hash_unit(["same"], 42)).first()[0]
-    try:
-        n = sampling.stratified_sample(df, "kind", ["same"], Stage(spark), total=100).count()
-    except ValueError as error:
-        assert "does not identify rows" in str(error)
-    else:
-        assert n == 100, unit
+def test_sample_of_rows_that_share_a_key(spark):
+    df = spark.range(100_000).selectExpr("1 AS same", "'all' AS kind", "id")
+    drawn = sampling.stratified_sample(df, "kind", ["same"], Stage(spark), total=100)
+    assert drawn.columns == df.columns
+    assert len({r["id"] for r in drawn.collect()}) == 100
 
 
 def test_sample_of_a_number_of_rows(spark, trips):

@@ -123,8 +123,16 @@ def test_collection_is_one_document_and_reads_back(spark, tmp_path):
     assert geometry.zone_centroids(again).count() == len(wanted) - sum(i in wanted for i in (5, 6))
 
 
-def test_feature_that_no_record_can_hold(spark, monkeypatch):
-    monkeypatch.setattr(geometry, "RECORD_POINTS", 3)
-    vertices = geometry.reproject(fixtures.vertices(spark, "/root/testdata/sf0.001"))
-    with pytest.raises(ValueError, match="does not fit"):
-        geometry.assemble(vertices, spark.range(1).selectExpr("id AS feature_id", "map('a', 'b') AS properties"))
+def test_months_with_disagreeing_types_in_a_folder_with_spaces(spark, tmp_path):
+    folder = tmp_path / "trip files"
+    spark.sql("SELECT 1 AS id, 7 AS PULocationID, 2.5D AS fare").write.parquet(str(folder / "a b.parquet"))
+    spark.sql("SELECT 2 AS id, '8' AS PULocationID, 'n/a' AS fare").write.parquet(str(folder / "c.parquet"))
+    spark.sql("SELECT 3 AS id, 'n/a' AS PULocationID, 3.5D AS fare").write.parquet(str(folder / "d.parquet"))
+    rows = sorted(map(tuple, files.read_trips(spark, str(folder)).select("id", "PULocationID", "fare").collect()))
+    assert rows == [(1, 7.0, 2.5), (2, 8.0, None), (3, None, 3.5)]
+
+
+def test_doubled_quotes_in_csv(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text('LocationID,Borough,Zone,service_zone\n1,B,"Q ""x"" y",s\n')
+    assert files.read_zone_lookup(spark, str(path)).first()["Zone"] == 'Q "x" y'

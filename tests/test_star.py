@@ -122,9 +122,7 @@ def test_large_dimension_path_gives_the_same_star(spark, cleaned, monkeypatch, c
     skewed = rows.unionByName(rows.limit(1).select(*rows.columns).join(spark.range(300).withColumnRenamed("id", "copy")).drop("copy"))
     skewed = Stage(spark).save(skewed, "skewed")
     plain = star.build_star(skewed, Stage(spark))
-    monkeypatch.setattr(star, "fits_broadcast", lambda *a, **k: False)
-    monkeypatch.setattr(star, "HOT_SHARE", 0.05)
-    split = star.build_star(skewed, Stage(spark))
+    split = star.build_star(skewed, Stage(spark), broadcast_bytes=0, hot_share=0.05)
     assert 0 < split.hot_fares.count() < split.fare_rows
     same = ["event_id", "datetime_id", "fare_id", "trip_duration_min", "tip_percentage"]
     assert sorted(split.fact_trips.select(same).collect()) == sorted(plain.fact_trips.select(same).collect())
@@ -153,3 +151,20 @@ def test_no_money_columns(spark):
 def test_empty_input(spark):
     built = star.build_star(trips(spark), Stage(spark))
     assert built.fact_trips.count() == 0 and built.dim_fare.count() == 0 and built.dim_datetime.count() == 0
+
+
+def test_star_in_another_session_zone(spark):
+    columns = "CAST(p AS TIMESTAMP_NTZ) AS tpep_pickup_datetime, CAST(p AS TIMESTAMP_NTZ) + INTERVAL 7 MINUTES AS tpep_dropoff_datetime"
+    hours = ("2024-03-10 02:30:00", "2024-03-10 10:30:00", "2024-11-03 01:30:00", "1969-12-31 23:10:00")
+    query = f"SELECT {columns}, 5.0D AS fare_amount FROM VALUES {', '.join(f'({h!r})' for h in hours)} t(p)"
+    results = []
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            built = star.build_star(spark.sql(query), Stage(spark))
+            hours_found = sorted(map(tuple, built.dim_datetime.collect()))
+            results.append((hours_found, sorted(r["datetime_id"] for r in built.fact_trips.collect())))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+    assert results[0] == results[1] and results[0][1] == [1, 2, 3, 4]

@@ -115,6 +115,20 @@ def test_weather_trouble_is_reported_only(warehouse, trips, caplog):
     load.load_weather(fixtures.weather(trips), warehouse)
 
 
+def test_failed_weather_reload_keeps_the_stored_dimension(warehouse, trips):
+    load.load_weather(fixtures.weather(trips), warehouse)
+    before = sorted(map(str, warehouse.table("dim_weather").collect()))
+    broken = trips.selectExpr("CAST(raise_error('no weather') AS STRING) AS datetime", "1D AS temp")
+    star = load.load_weather(broken, warehouse)
+    assert sorted(map(str, star.dim_weather.collect())) == before
+
+
+def test_own_stage_is_removed(spark, trips, tmp_path):
+    with Stage(spark, str(tmp_path / "stage")) as stage:
+        assert stage.save(trips.limit(3), "few").count() == 3 and (tmp_path / "stage").exists()
+    assert not (tmp_path / "stage").exists()
+
+
 def test_run_from_files(spark, trips, tmp_path):
     for month in range(3):
         trips.filter(F.col("event_id") % 3 == month).write.parquet(str(tmp_path / f"m{month}.parquet"))

@@ -86,8 +86,8 @@ def hour_number(moment: Column) -> Column:
 
 
 def hour_start(number: Column) -> Column:
-    """Start of a numbered hour. Needs a UTC session, as the conversion goes through the session zone."""
-    return F.timestamp_seconds(number * F.lit(3600)).cast("timestamp_ntz")
+    """Start of a numbered hour, without a zone, so that it is the same in every session."""
+    return F.timestamp_add("HOUR", number.cast("int"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def hour_floor(moment: Column) -> Column:

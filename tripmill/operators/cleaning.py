@@ -144,7 +144,7 @@ class TripCleaner:
                 changed[name] = as_number(df, name).cast("bigint")
         for name in self.config.location_columns:
             if name in df.columns and _is_text(df, name):
-                changed[name] = as_number(df, name)
+                changed[name] = as_number(df, name).cast("bigint")
         return df.withColumns(changed) if changed else df
 
     def clean(self, df: DataFrame) -> DataFrame:
@@ -161,16 +161,11 @@ class TripCleaner:
         first_failed = F.coalesce(
             *[F.when(~F.coalesce(rule.keep, F.lit(False)), F.lit(i)) for i, rule in enumerate(rules)]
         )
-        counts = df.select(first_failed.alias("failed")).agg(
-            *[F.count_if(F.col("failed") == i).alias(f"n{i}") for i in range(len(rules))]
-        )
-        rows = F.array(
-            *[
-                F.struct(F.lit(i + 1).alias("rule_no"), F.lit(r.name).alias("rule"), F.col(f"n{i}").alias("removed"))
-                for i, r in enumerate(rules)
-            ]
-        )
-        return counts.select(F.inline(rows))
+        counts = df.select(first_failed.alias("failed")).where("failed IS NOT NULL").groupBy("failed").count()
+        listed = df.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "failed int, rule string")
+        # One row per rule on either side.
+        joined = listed.join(F.broadcast(counts), "failed", "left")
+        return joined.select((F.col("failed") + 1).alias("rule_no"), "rule", F.coalesce("count", F.lit(0)).alias("removed"))
 
 
 def _hours(df: DataFrame) -> Column:

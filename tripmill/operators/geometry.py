@@ -11,9 +11,6 @@ from tripmill.functions.projection import ConicProjection, to_longitude_latitude
 ID_PROPERTIES = ("LocationID", "locationid", "location_id", "LOCATIONID")
 EMPTY_VALUES = ("", "0", "0.0", "false")
 
-# A point takes some forty bytes of text, and a text value ends at two gigabytes.
-RECORD_POINTS = 20_000_000
-
 POLYGON = "array<array<array<double>>>"
 MULTI_POLYGON = "array<array<array<array<double>>>>"
 
@@ -113,12 +110,9 @@ def ring_summary(vertices: DataFrame, features: DataFrame | None = None) -> Data
 def assemble(vertices: DataFrame, features: DataFrame) -> DataFrame:
     """``(feature_id, properties, geometry_type, geometry)`` with the geometry as GeoJSON text.
 
-    A feature is one record of the format, so its vertices have to meet in one row. That they fit is checked
-    by counting first. Rings are gathered before features, so the second step moves whole rings.
+    A feature is one record of the format, so its vertices meet in one row. Rings are gathered before
+    features, so the second step moves whole rings.
     """
-    largest = ring_summary(vertices).agg(F.max("points")).first()[0] or 0
-    if largest > RECORD_POINTS:
-        raise ValueError(f"a feature of {largest} points does not fit a GeoJSON record of {RECORD_POINTS}")
     point = F.array("lon", "lat")
     in_order = F.array_sort(F.collect_list(F.struct("seq", point.alias("point"))))
     rings = vertices.groupBy("feature_id", "part").agg(in_order.alias("vertices"))

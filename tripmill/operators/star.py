@@ -21,7 +21,7 @@ from tripmill.functions.columns import (
     season,
     seconds_between,
 )
-from tripmill.operators.keys import HOT_SHARE, dense_key, fits_broadcast, hot_split_join
+from tripmill.operators.keys import BROADCAST_BYTES, HOT_SHARE, dense_key, fits_broadcast, hot_split_join
 from tripmill.session import Stage
 
 HOUR_COLUMNS = ("datetime_id", "full_datetime")
@@ -47,6 +47,8 @@ class Star:
     fact_trips: DataFrame
     hot_fares: DataFrame | None = None
     dim_weather: DataFrame | None = None
+    # Dimensions of more bytes are not broadcast.
+    broadcast_bytes: int = BROADCAST_BYTES
 
     @cached_property
     def hour_rows(self) -> int:
@@ -58,11 +60,11 @@ class Star:
 
     @property
     def hours_are_small(self) -> bool:
-        return fits_broadcast(self.hour_rows, self.dim_datetime.columns)
+        return fits_broadcast(self.hour_rows, self.dim_datetime.columns, self.broadcast_bytes)
 
     @property
     def fares_are_small(self) -> bool:
-        return fits_broadcast(self.fare_rows, self.dim_fare.columns)
+        return fits_broadcast(self.fare_rows, self.dim_fare.columns, self.broadcast_bytes)
 
     def with_hours(self, df: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
         """Add hour attributes to a frame that has ``datetime_id``.
@@ -172,10 +174,10 @@ def number_fares(combinations: DataFrame, stage: Stage) -> DataFrame:
     return dense_key(combinations, money_columns(combinations), "fare_id", stage)
 
 
-def hot_fares(numbered: DataFrame) -> DataFrame:
-    """The combinations that hold more than ``HOT_SHARE`` of all trips, fewer than ``1 / HOT_SHARE`` rows."""
+def hot_fares(numbered: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """The combinations that hold more than ``share`` of all trips, fewer than ``1 / share`` rows."""
     trips = numbered.agg(F.sum("trips")).first()[0] or 0
-    return numbered.filter(F.col("trips") > F.lit(trips * HOT_SHARE)).drop("trips")
+    return numbered.filter(F.col("trips") > F.lit(trips * share)).drop("trips")
 
 
 def attach_fare_id(trips: DataFrame, dim_fare: DataFrame, hot: DataFrame | None, small: bool) -> DataFrame:
@@ -198,7 +200,13 @@ def fact_order(fact: DataFrame) -> DataFrame:
 # -- whole transform ---------------------------------------------------------------------------------
 
 
-def build_star(trips: DataFrame, stage: Stage, tables: Store | None = None) -> Star:
+def build_star(
+    trips: DataFrame,
+    stage: Stage,
+    tables: Store | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: float = HOT_SHARE,
+) -> Star:
     """Dimensions are stored first, so their sizes are known when the fact is joined to them.
 
     ``tables`` stores the dimensions where they are to stay; by default that is the stage. The trips are
@@ -208,13 +216,16 @@ def build_star(trips: DataFrame, stage: Stage, tables: Store | None = None) -> S
     tables = tables or stage
     derived = add_metrics(trips)
     dim_datetime = tables.save(build_dim_datetime(derived, stage), "dim_datetime")
-    fact = attach_datetime_id(derived, dim_datetime, fits_broadcast(dim_datetime.count(), HOUR_COLUMNS))
+    hours_are_small = fits_broadcast(dim_datetime.count(), HOUR_COLUMNS, broadcast_bytes)
+    fact = attach_datetime_id(derived, dim_datetime, hours_are_small)
     if not money_columns(derived):
         dim_fare = tables.save(trips.sparkSession.range(1, 2).select(F.col("id").alias("fare_id")), "dim_fare")
-        return Star(dim_datetime, dim_fare, fact_order(fact.withColumn("fare_id", F.lit(1).cast("bigint"))))
+        fact = fact_order(fact.withColumn("fare_id", F.lit(1).cast("bigint")))
+        return Star(dim_datetime, dim_fare, fact, broadcast_bytes=broadcast_bytes)
     numbered = number_fares(fare_combinations(derived), stage).select("fare_id", *money_columns(derived), "trips")
     dim_fare = tables.save(numbered.drop("trips"), "dim_fare")
-    small = fits_broadcast(dim_fare.count(), dim_fare.columns)
+    small = fits_broadcast(dim_fare.count(), dim_fare.columns, broadcast_bytes)
     # A dimension that is broadcast whole needs no list of hot combinations.
-    hot = None if small else tables.save(hot_fares(numbered), "hot_fares")
-    return Star(dim_datetime, dim_fare, attach_fare_id(fact, dim_fare, hot, small), hot)
+    hot = None if small else tables.save(hot_fares(numbered, hot_share), "hot_fares")
+    fact = attach_fare_id(fact, dim_fare, hot, small)
+    return Star(dim_datetime, dim_fare, fact, hot, broadcast_bytes=broadcast_bytes)

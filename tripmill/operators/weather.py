@@ -9,7 +9,7 @@ from tripmill.config import WEATHER_ATTRIBUTES
 from tripmill.functions.columns import as_timestamp
 
 # Position of a row in its list of files, as the CSV source adds it.
-ORDER_COLUMNS = ("source_order", "block_start", "row_in_block")
+ORDER_COLUMNS = ("source_order", "file", "block_start", "row_in_block")
 
 
 def parse_time(weather: DataFrame) -> DataFrame:

@@ -340,7 +340,10 @@ def _all_checks() -> str:
 
 def sql() -> dict[str, str]:
     s = statement
-    months = ("January", "February", "March")
+    months = (
+        "January", "February", "March", "April", "May", "June",
+        "July", "August", "September", "October", "November", "December",
+    )
     day = "CASE day_of_week " + " ".join(
         f"WHEN {i} THEN '{n}'"
         for i, n in enumerate(("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"))
@@ -368,6 +371,16 @@ def sql() -> dict[str, str]:
         "s06_fact_table": s("SELECT * FROM fact"),
         "s09_sql": s("SELECT d.season, d.hour, count(*) AS trips, sum(f.trip_distance) AS distance FROM fact f JOIN dim_datetime d ON f.datetime_id = d.datetime_id GROUP BY 1, 2"),
         "s10_all_marts": s(" UNION ALL ".join(f"SELECT '{name}' AS mart, count(*) AS row_count FROM ({bodies[m]})" for m, name in zip(marts, MART_NAMES))),
+        "s10_no_weather": s(" UNION ALL ".join(
+            f"SELECT '{name}' AS mart, count(*) * {int(not m.startswith('weather'))} AS row_count FROM ({bodies[m]})"
+            for m, name in zip(marts, MART_NAMES)
+        )),
+        "s07_created_tables": s("SELECT count(*) AS hours FROM dim_datetime"),
+        "s08_dropped_tables": s("SELECT 'hours' AS name, count(*) AS rows FROM dim_datetime"),
+        "c14_absent_columns": s(f"""SELECT event_id FROM trips WHERE passenger_count > 0 AND passenger_count <= 6
+            AND tpep_pickup_datetime BETWEEN {START} AND {END} AND payment_type IN (1, 2, 3, 4, 5, 6)"""),
+        "t01_required": s("""SELECT c AS columns, c = 'both' AS accepted, (SELECT count(*) FROM trips) AS trips
+            FROM (VALUES ('both'), ('no pickup'), ('no dropoff'), ('neither')) v(c)"""),
         "c01_timestamps": s("""SELECT event_id, CASE WHEN event_id % 83 = 0 THEN NULL ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
             CASE WHEN event_id % 89 = 0 THEN NULL ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime FROM trips"""),
         "c02_non_negative": _keep(" AND ".join(r for n, r in RULES.items() if n.startswith("negative"))),
@@ -380,7 +393,7 @@ def sql() -> dict[str, str]:
         "c09_paid_fare": _keep(f"NOT (fare_amount = 0 AND {CHARGES} > 0)"),
         "c10_payment_type": s("SELECT event_id, payment_type FROM trips WHERE payment_type IN (1, 2, 3, 4, 5, 6) AND event_id % 83 <> 0"),
         "c11_rate_code": s("SELECT event_id, CAST(RatecodeID AS BIGINT) AS RatecodeID FROM trips WHERE RatecodeID IN (1, 2, 3, 4, 5, 6) AND event_id % 83 <> 0"),
-        "c12_location": s("SELECT event_id, CAST(PULocationID AS DOUBLE) AS PULocationID, DOLocationID FROM trips WHERE PULocationID BETWEEN 1 AND 265 AND event_id % 83 <> 0"),
+        "c12_location": s("SELECT event_id, CAST(PULocationID AS BIGINT) AS PULocationID, DOLocationID FROM trips WHERE PULocationID BETWEEN 1 AND 265 AND event_id % 83 <> 0"),
         "c13_removals": _removals(),
         "c15_clean": s("SELECT * FROM clean"),
         "t02_duration": s(f"SELECT event_id, trip_duration_min FROM ({metrics('trips')})"),
@@ -411,6 +424,16 @@ def sql() -> dict[str, str]:
         "v05_all_checks": _all_checks(),
         **{key: s(bodies[m]) for key, m in zip(MART_KEYS, marts)},
         "p01_month_start": s("SELECT *, make_date(year, month, 1) AS year_month FROM monthly"),
+        "p02_day_names_durations": s(f"SELECT *, {day} FROM weekday"),
+        "p08_top_labels_lookup": s("""SELECT t.pulocationid, t.trip_count, l.zone_label AS zone_name
+            FROM top_pickup t JOIN labelled l ON t.pulocationid = l.location_id"""),
+        "p09_located_pickups": s("SELECT p.location_id, p.trip_count, c.lon, c.lat FROM pickup_counts p JOIN centroids c ON p.location_id = c.location_id"),
+        "p10_markers_located": s(f"""SELECT l.location_id, trip_count, zone_label, lon, lat,
+                   {even('6 + 20 * sqrt(trip_count / CAST(max(trip_count) OVER () AS DOUBLE))', 6)} AS size,
+                   zone_label || '<br>Trips: ' || format('{{:,}}', trip_count) AS text
+            FROM labelled l JOIN centroids c ON l.location_id = c.location_id"""),
+        "p13_trip_type_shares": s(f"""SELECT *, {even('trip_count * 100e0 / sum(trip_count) OVER ()', 6)} AS percent
+            FROM (SELECT trip_type, count(*) AS trip_count FROM named GROUP BY 1)"""),
         "p02_day_names": s(f"SELECT *, {day} FROM fare_weekday"),
         "p03_weekend": s("SELECT *, day_of_week IN (0, 6) AS is_weekend FROM weekday"),
         "p04_heatmap_pivot": s(f"SELECT CAST(i AS INTEGER) AS day_of_week, {', '.join(f'CAST(coalesce(sum(trip_count) FILTER (WHERE month = {m + 1}), 0) AS BIGINT) AS {n}' for m, n in enumerate(months))}, {day.replace('day_of_week', 'i')} FROM range(7) r(i) LEFT JOIN heatmap h ON h.day_of_week = i GROUP BY i"),
@@ -430,7 +453,9 @@ def sql() -> dict[str, str]:
         "m05_statistics": s(f"SELECT trip_type, {even('avg(trip_distance)')} AS trip_distance, {even('avg(trip_duration_min)')} AS trip_duration_min, {even('avg(fare_amount)')} AS fare_amount, count(*) AS count FROM named GROUP BY 1"),
         "m06_by_hour": s("SELECT hour, trip_type, count(*) AS count FROM named GROUP BY 1, 2"),
         "m07_sizes": s("SELECT trip_type, count(*) AS trip_count FROM named GROUP BY 1"),
-        "m08_sample": s("SELECT trip_type, CAST(least(n, greatest(floor(1000 * (n / CAST((SELECT count(*) FROM named) AS DOUBLE))), 100)) AS BIGINT) AS sampled FROM (SELECT trip_type, count(*) AS n FROM named GROUP BY 1)"),
+        "m08_sample": s("""SELECT trip_type, target AS sampled, target AS keys, target AS members FROM (
+            SELECT trip_type, CAST(least(n, greatest(floor(1000 * (n / CAST((SELECT count(*) FROM named) AS DOUBLE))), 100)) AS BIGINT) AS target
+            FROM (SELECT trip_type, count(*) AS n FROM named GROUP BY 1))"""),
         "m11_assign": s("SELECT trip_duration_min, fare_amount, trip_distance, CAST(trip_cluster AS INTEGER) AS trip_cluster FROM assigned"),
         "g01_location_id": s("SELECT k AS customer, location_id, location_text FROM features"),
         "g02_points": s(f"SELECT k AS customer, CAST(position AS INTEGER) AS position, lon, lat FROM ({points_sql()})"),
@@ -440,9 +465,13 @@ def sql() -> dict[str, str]:
         "g05_rings": s("""SELECT f.feature_id, CASE WHEN count(v.part) = 0 THEN 'GeometryCollection' WHEN count(DISTINCT v.part) = 1 THEN 'Polygon'
             ELSE 'MultiPolygon' END AS geometry_type, count(DISTINCT v.part) AS rings, count(v.part) AS points
             FROM (SELECT DISTINCT CAST(s_nationkey * 2 + 1 AS BIGINT) AS feature_id FROM supplier) f LEFT JOIN vertices v ON v.feature_id = f.feature_id GROUP BY 1"""),
+        "s11_geojson": s("SELECT feature_id, count(*) AS points FROM vertices GROUP BY 1"),
         "g06_reproject": s(projected_sql()),
         "g07_location_count": s("SELECT count(DISTINCT location_text) AS locations FROM features"),
     }
+    # The same rows whatever the size of a dimension makes of the joins.
+    for name in ("t12_fare_join", "t15_star", "q04_fare_weekday", "q12_clustering"):
+        result[f"{name}_large"] = result[name]
     return result
 
 

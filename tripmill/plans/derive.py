@@ -102,7 +102,7 @@ def zone_labels(df: DataFrame, lookup: DataFrame | None, location: str = "locati
     """
     identifier = F.col(location)
     fallback = F.coalesce(
-        _lookup(ZONE_NAMES, identifier.cast("int")), F.concat(F.lit("Zone "), identifier.cast("string"))
+        _lookup(ZONE_NAMES, identifier.cast("int")), F.concat(F.lit("Zone "), identifier.cast("bigint").cast("string"))
     )
     if lookup is None:
         return df.withColumn(name, fallback)

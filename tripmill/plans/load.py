@@ -12,7 +12,7 @@ from tripmill.operators.cleaning import TripCleaner
 from tripmill.operators.quality import StarChecker
 from tripmill.operators.star import Star, build_star
 from tripmill.operators.weather import build_dim_weather
-from tripmill.session import Stage, ensure_utc
+from tripmill.session import Stage
 from tripmill.sources.files import read_trips, read_weather
 from tripmill.sources.warehouse import PENDING, Warehouse
 
@@ -25,16 +25,18 @@ def load_trips(
     cleaning: CleaningConfig = CleaningConfig(),
     quality: QualityConfig | None = None,
     stage: Stage | None = None,
-    compact: bool = False,
+    compact: bool = True,
 ) -> Star:
     """Clean trips, build the star, check it and publish it. A failed check leaves the current star as it is.
 
     The cleaned trips are written to the stage once and every table reads the columns it needs from there.
     The star is written once as well, under pending names; the checks read those tables, and publishing
-    renames them. ``compact`` asks for fuller fact files at the price of a shuffle.
+    renames them. ``compact`` fills fact files month by month at the price of a shuffle; switch it off for
+    trips that already lie in order of months. A stage of its own is removed at the end.
     """
-    spark = ensure_utc(trips.sparkSession)
-    stage = stage or Stage(spark)
+    if stage is None:
+        with Stage(trips.sparkSession) as own:
+            return load_trips(trips, warehouse, cleaning, quality, own, compact)
     cleaned = stage.save(TripCleaner(cleaning).clean(trips), "cleaned")
     warehouse.begin()
     star = build_star(cleaned, stage, warehouse)
@@ -51,9 +53,8 @@ def load_weather(weather: DataFrame | None, warehouse: Warehouse) -> Star:
         log.warning("no weather files, weather dimension skipped")
         return star
     try:
-        warehouse.save_dimension(
-            build_dim_weather(weather, star.dim_datetime, star.hours_are_small), "dim_weather"
-        )
+        warehouse.save(build_dim_weather(weather, star.dim_datetime, star.hours_are_small), "dim_weather")
+        warehouse.publish_table("dim_weather")
     except Exception:
         log.exception("weather dimension not loaded")
     return warehouse.load_star()

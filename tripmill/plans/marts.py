@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.config import MartConfig
+from tripmill.config import WEATHER_ATTRIBUTES, MartConfig
 from tripmill.functions.columns import round_half_up
 from tripmill.operators.keys import fits_broadcast
 from tripmill.operators.star import Star
@@ -60,6 +60,15 @@ class Marts:
             fact = fact.filter(F.col(PARTITION) >= first_month).drop(PARTITION)
         return fact
 
+    @cached_property
+    def dim_weather(self) -> DataFrame:
+        """The weather dimension; without one, an empty table, as a load without weather is a valid load."""
+        if self.star.dim_weather is not None:
+            return self.star.dim_weather
+        kinds = {c: "string" if c == "conditions" else "double" for c in WEATHER_ATTRIBUTES}
+        columns = ", ".join(f"{c} {kind}" for c, kind in kinds.items())
+        return self.star.dim_datetime.sparkSession.createDataFrame([], f"datetime_id bigint, {columns}")
+
     @property
     def _wanted(self) -> Column:
         return F.col("year") >= self.config.year
@@ -169,7 +178,7 @@ class Marts:
 
         A weather row stands once per trip in averages, and once where there is no trip.
         """
-        weather = self.star.dim_weather.select("datetime_id", *columns)
+        weather = self.dim_weather.select("datetime_id", *columns)
         trips = self.hour_rollup.select("datetime_id", "trips")
         joined = weather.join(trips, "datetime_id", "left").withColumns(
             {"weight": F.coalesce("trips", F.lit(1)), "trips": F.coalesce("trips", F.lit(0))}
@@ -182,7 +191,7 @@ class Marts:
             known = F.sum(F.when(value.isNotNull(), weight))
             return round_half_up(F.try_divide(F.sum(value * weight), known)).alias(f"avg_{column}")
 
-        month = F.date_trunc("month", "full_datetime").cast("timestamp_ntz").alias("year_month")
+        month = F.trunc("full_datetime", "month").cast("timestamp_ntz").alias("year_month")
         grouped = self._weather("temp", "precip").groupBy(month)
         return grouped.agg(weighted("temp"), weighted("precip"), self._trips()).orderBy("year_month")
 
@@ -202,9 +211,9 @@ class Marts:
             "datetime_id", "fare_id", "trip_duration_min", "trip_distance", "passenger_count", *also
         )
         hours = self.star.dim_datetime.filter(self._wanted).select("datetime_id", "hour")
-        weather = self.star.dim_weather.select("datetime_id", "temp", "precip")
+        weather = self.dim_weather.select("datetime_id", "temp", "precip")
         hours = hours.join(weather, "datetime_id", "left")
-        small = fits_broadcast(self.star.hour_rows, hours.columns)
+        small = fits_broadcast(self.star.hour_rows, hours.columns, self.star.broadcast_bytes)
         placed = facts.join(F.broadcast(hours) if small else hours, "datetime_id")
         priced = self.star.with_fares(placed, "fare_amount", "tip_amount", "total_amount")
         return priced.filter("fare_amount IS NOT NULL AND tip_amount IS NOT NULL").select(*CORRELATED, *also)

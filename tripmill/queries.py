@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill import fixtures, oracle
-from tripmill.config import PICKUP, QualityConfig
+from tripmill.config import DROPOFF, PICKUP, QualityConfig
 from tripmill.functions.columns import hour_floor, round_even, season
 from tripmill.operators import geometry, segments, star as stars, weather as weathers
 from tripmill.operators.cleaning import TripCleaner
@@ -22,7 +22,7 @@ from tripmill.plans import derive
 from tripmill.plans.load import load_trips, load_weather
 from tripmill.plans.marts import Marts
 from tripmill.session import Stage, ensure_utc, shared_folder
-from tripmill.sources import files
+from tripmill.sources import files, geojson
 from tripmill.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,7 @@ class Prepared:
         self._star: Star | None = None
         self._features: DataFrame | None = None
         self._tips = None
+        self._large: Star | None = None
         name = f"trips_{uuid.uuid4().hex[:12]}"
         self.warehouse = Warehouse(spark, name, f"{shared_folder(spark)}/{name}")
 
@@ -96,6 +97,14 @@ class Prepared:
     def lookup(self) -> DataFrame:
         return fixtures.zone_lookup(self.spark, self.sf_dir)
 
+    @property
+    def large(self) -> Star:
+        """The star as if no dimension could be broadcast, with a fact that was joined in that way."""
+        if self._large is None:
+            star = stars.build_star(self.cleaned, self.stage, broadcast_bytes=0, hot_share=1e-3)
+            self._large = replace(star, fact_trips=self.stage.save(star.fact_trips, "fact"), dim_weather=self.star.dim_weather)
+        return self._large
+
     @property
     def tips(self):
         if self._tips is None:
@@ -148,7 +157,7 @@ def weather_csv(p: Prepared) -> DataFrame:
         part = raw.filter(F.col("source_order") == number).drop("source_order")
         part.write.option("header", True).csv(f"{root}/{number}")
     read = files.read_weather(p.spark, [f"{root}/0", f"{root}/1", f"{root}/missing"])
-    return read.drop("block_start", "row_in_block")
+    return read.drop("file", "block_start", "row_in_block")
 
 
 @query("s03_zone_lookup")
@@ -189,6 +198,44 @@ def all_marts(p: Prepared) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query("s10_no_weather")
+def marts_without_weather(p: Prepared) -> DataFrame:
+    marts = Marts(replace(p.star, dim_weather=None), fixtures.MARTS, p.stage).all()
+    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("mart"), "row_count") for n, df in marts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("s11_geojson")
+def geojson_round_trip(p: Prepared) -> DataFrame:
+    """Features written as a collection and read again: points of each."""
+    vertices = geometry.reproject(fixtures.vertices(p.spark, p.sf_dir))
+    listed = vertices.select("feature_id").distinct()
+    named = listed.select("feature_id", F.create_map(F.lit("LocationID"), F.col("feature_id").cast("string")).alias("properties"))
+    path = p.stage.path("collection")
+    geojson.write_collection(p.stage.save(geometry.assemble(vertices, named), "assembled"), path)
+    again = geometry.with_points(geometry.with_location_id(files.read_features(p.spark, path)))
+    return again.select(F.col("location_id").cast("bigint").alias("feature_id"), F.size("points").cast("bigint").alias("points"))
+
+
+@query("s07_created_tables")
+def created_tables(p: Prepared) -> DataFrame:
+    """Rows of a dimension stored twice in a new database."""
+    warehouse = Warehouse(p.spark, f"{p.warehouse.database}_new", p.stage.path("database")).create().create()
+    warehouse.save_dimension(p.star.dim_datetime, "hours")
+    return warehouse.save_dimension(p.star.dim_datetime, "hours").agg(F.count("*").alias("hours"))
+
+
+@query("s08_dropped_tables")
+def dropped_tables(p: Prepared) -> DataFrame:
+    """What is left when some tables, one of them missing, are dropped."""
+    warehouse = Warehouse(p.spark, f"{p.warehouse.database}_old", p.stage.path("database")).create()
+    for table in ("hours", "more_hours"):
+        warehouse.save_dimension(p.star.dim_datetime, table)
+    warehouse.drop(["more_hours", "never_there"])
+    left = [t for t in ("hours", "more_hours", "never_there") if warehouse.exists(t)]
+    return reduce(DataFrame.unionByName, [warehouse.table(t).agg(F.lit(t).alias("name"), F.count("*").alias("rows")) for t in left])
+
+
 # -- cleaning --------------------------------------------------------------------------------------
 
 
@@ -257,6 +304,13 @@ def removals(p: Prepared) -> DataFrame:
     return _cleaner().removals(p.trips)
 
 
+@query("c14_absent_columns")
+def absent_columns(p: Prepared) -> DataFrame:
+    """Rules whose columns are missing fall away; the others stay."""
+    few = p.trips.select("event_id", PICKUP, DROPOFF, "passenger_count", "payment_type")
+    return _cleaner().clean(few).select("event_id")
+
+
 @query("c15_clean")
 def clean(p: Prepared) -> DataFrame:
     return p.cleaned
@@ -328,6 +382,11 @@ def fare_join(p: Prepared) -> DataFrame:
     return stars.attach_fare_id(p.cleaned, star.dim_fare, star.hot_fares, star.fares_are_small).select("event_id", "fare_id")
 
 
+@query("t12_fare_join_large")
+def fare_join_large(p: Prepared) -> DataFrame:
+    return p.large.fact_trips.select("event_id", "fare_id")
+
+
 @query("t13_fact_order")
 def fact_order(p: Prepared) -> DataFrame:
     return stars.fact_order(p.fact.select("fare_id", *[c for c in p.fact.columns if c != "fare_id"]))
@@ -346,6 +405,28 @@ def whole_star(p: Prepared) -> DataFrame:
     return star.with_fares(hours, *stars.money_columns(star.dim_fare))
 
 
+@query("t15_star_large")
+def whole_star_large(p: Prepared) -> DataFrame:
+    star = p.large
+    fact = star.fact_trips.select("event_id", "trip_duration_min", "tip_percentage", "datetime_id", "fare_id")
+    hours = star.with_hours(fact, *[c for c in star.dim_datetime.columns if c != "datetime_id"])
+    return star.with_fares(hours, *stars.money_columns(star.dim_fare))
+
+
+@query("t01_required")
+def required(p: Prepared) -> DataFrame:
+    """Whether trips with only some of the time columns are accepted."""
+    rows = []
+    for name, dropped in (("both", ()), ("no pickup", (PICKUP,)), ("no dropoff", (DROPOFF,)), ("neither", (PICKUP, DROPOFF))):
+        try:
+            stars.require_timestamps(p.trips.drop(*dropped))
+            accepted = True
+        except ValueError:
+            accepted = False
+        rows.append(p.trips.agg(F.lit(name).alias("columns"), F.lit(accepted).alias("accepted"), F.count("*").alias("trips")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 # -- weather ---------------------------------------------------------------------------------------
 
 
@@ -427,6 +508,16 @@ for _key, _mart in zip(oracle.MART_KEYS, oracle.MART_NAMES):
     _mart_query(_key, _mart)
 
 
+@query("q04_fare_weekday_large")
+def fare_weekday_large(p: Prepared) -> DataFrame:
+    return Marts(p.large, fixtures.MARTS).fare_weekday()
+
+
+@query("q12_clustering_large")
+def clustering_large(p: Prepared) -> DataFrame:
+    return Marts(p.large, fixtures.MARTS).clustering()
+
+
 # -- derived ---------------------------------------------------------------------------------------
 
 
@@ -440,6 +531,11 @@ def day_names(p: Prepared) -> DataFrame:
     return derive.day_names(p.marts.fare_weekday())
 
 
+@query("p02_day_names_durations")
+def day_names_of_durations(p: Prepared) -> DataFrame:
+    return derive.day_names(p.marts.weekday())
+
+
 @query("p03_weekend")
 def weekend(p: Prepared) -> DataFrame:
     return derive.weekend_flag(p.marts.weekday())
@@ -447,7 +543,7 @@ def weekend(p: Prepared) -> DataFrame:
 
 @query("p04_heatmap_pivot")
 def heatmap_pivot(p: Prepared) -> DataFrame:
-    return derive.heatmap_pivot(p.marts.heatmap(), months=(1, 2, 3))
+    return derive.heatmap_pivot(p.marts.heatmap(), months=range(1, 13))
 
 
 @query("p05_kpis")
@@ -478,6 +574,16 @@ def top_labels(p: Prepared) -> DataFrame:
     return derive.top_pickup_labels(p.marts.top_pickup_locations())
 
 
+@query("p08_top_labels_lookup")
+def top_labels_from_lookup(p: Prepared) -> DataFrame:
+    return derive.top_pickup_labels(p.marts.top_pickup_locations(), p.lookup)
+
+
+@query("p09_located_pickups")
+def located_pickups(p: Prepared) -> DataFrame:
+    return derive.locate(p.marts.pickup_counts_all(), geometry.zone_centroids(p.features))
+
+
 @query("p09_located")
 def located(p: Prepared) -> DataFrame:
     return derive.locate(p.marts.dropoff_counts_all(), geometry.zone_centroids(p.features))
@@ -493,6 +599,13 @@ def markers(p: Prepared) -> DataFrame:
     return derive.markers(_labelled(p)).withColumn("size", round_even(F.col("size"), 6))
 
 
+@query("p10_markers_located")
+def markers_of_located(p: Prepared) -> DataFrame:
+    """Sizes relative to the largest count that has a place."""
+    located = derive.locate(_labelled(p), geometry.zone_centroids(p.features))
+    return derive.markers(located).withColumn("size", round_even(F.col("size"), 6))
+
+
 def _matrix(p: Prepared) -> DataFrame:
     matrix = derive.correlation_matrix(p.marts.correlation())
     return matrix.withColumn("correlation", round_even(F.col("correlation"), 6))
@@ -514,6 +627,12 @@ def shares(p: Prepared) -> DataFrame:
     return payment.withColumn("percent", round_even(F.col("percent"), 6))
 
 
+@query("p13_trip_type_shares")
+def trip_type_shares(p: Prepared) -> DataFrame:
+    sizes = derive.shares(segments.segment_sizes(p.named))
+    return sizes.withColumn("percent", round_even(F.col("percent"), 6))
+
+
 # -- segments --------------------------------------------------------------------------------------
 
 
@@ -559,8 +678,13 @@ def segment_sizes(p: Prepared) -> DataFrame:
 @query("m08_sample")
 def sample(p: Prepared) -> DataFrame:
     assigned = segments.assign(p.marts.clustering("event_id"), CENTROIDS, segments.FEATURES, "trip_cluster")
-    drawn = stratified_sample(segments.name_segments(assigned), "trip_type", ["event_id"], p.stage, total=SAMPLE)
-    return drawn.groupBy("trip_type").agg(F.count("*").alias("sampled"))
+    named = segments.name_segments(assigned).select("event_id", "trip_type")
+    drawn = stratified_sample(named, "trip_type", ["event_id"], p.stage, total=SAMPLE)
+    # Sizes, keys that are distinct, and drawn rows that stand in their segment of the input.
+    members = named.withColumn("member", F.lit(1)).join(drawn.select("event_id", "trip_type"), ["event_id", "trip_type"])
+    found = members.groupBy("trip_type").agg(F.count("*").alias("members"))
+    sizes = drawn.groupBy("trip_type").agg(F.count("*").alias("sampled"), F.count_distinct("event_id").alias("keys"))
+    return sizes.join(found, "trip_type")
 
 
 @query("m09_tip_clusters")

@@ -49,6 +49,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that it lies in; one that is missing is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass
 class Stage:
     """Written intermediate results.
@@ -64,6 +71,16 @@ class Stage:
         if not self.root:
             self.root = f"{shared_folder(self.spark)}/stage-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> "Stage":
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Remove all that was staged. Frames read from here cannot be used afterwards."""
+        remove(self.spark, self.root)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.config import WEATHER_ATTRIBUTES
 
@@ -38,22 +39,51 @@ def read_trips(spark: SparkSession, directory: str, schema: str | None = None) -
     except Exception as error:
         if "CANNOT_MERGE" not in str(error):
             raise
-    frames = [reader.parquet(entry) for entry in _entries(spark, directory, pattern)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def _entries(spark: SparkSession, directory: str, pattern: str) -> list[str]:
-    """Names of the monthly files or datasets, not of the parts inside them."""
-    root = directory.rstrip("/")
-    names = set()
-    for file in spark.read.parquet(pattern).inputFiles():
-        names.add(file.split(root + "/", 1)[1].split("/", 1)[0])
-    return [f"{root}/{name}" for name in sorted(names)]
+    frames = [reader.parquet(entry) for entry in _entries(spark, pattern)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _with_common_types(frames))
+
+
+def _entries(spark: SparkSession, pattern: str) -> list[str]:
+    """The monthly files or datasets, as the file system lists them: not the parts inside them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found)
+
+
+def _with_common_types(frames: list[DataFrame]) -> list[DataFrame]:
+    """Where one file has text and another numbers or times, text that is neither becomes null."""
+    kinds: dict[str, list[T.DataType]] = {}
+    for frame in frames:
+        for field in frame.schema:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    target = {}
+    for name, types in kinds.items():
+        if len(set(types)) > 1 and any(isinstance(t, T.StringType) for t in types):
+            others = [t for t in types if not isinstance(t, T.StringType)]
+            if all(isinstance(t, T.NumericType) for t in others):
+                target[name] = "double"
+            elif all(isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)) for t in others):
+                target[name] = "timestamp_ntz"
+            else:
+                target[name] = "string"
+    return [
+        frame.withColumns({c: F.col(f"`{c}`").try_cast(target[c]) for c in frame.columns if c in target}) if target else frame
+        for frame in frames
+    ]
 
 
 def _position() -> dict[str, Column]:
     """Place of a row in its file: splits are ordered by offset, rows by reading order inside a split."""
-    return {"block_start": F.col("_metadata.file_block_start"), "row_in_block": F.monotonically_increasing_id()}
+    return {
+        "file": F.col("_metadata.file_path"),
+        "block_start": F.col("_metadata.file_block_start"),
+        "row_in_block": F.monotonically_increasing_id(),
+    }
+
+
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns by header; a quote inside quotes is doubled."""
+    return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
 def read_weather(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
@@ -64,7 +94,7 @@ def read_weather(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     frames = []
     for number, path in enumerate(paths):
         try:
-            raw = spark.read.option("header", True).csv(path)
+            raw = _csv(spark, path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -84,7 +114,7 @@ def read_weather(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
 def read_zone_lookup(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """Zone names by id. Rows without id are dropped; of a repeated id the last row counts."""
     try:
-        raw = spark.read.option("header", True).csv(path)
+        raw = _csv(spark, path)
     except AnalysisException as error:
         if on_error != "empty":
             raise
@@ -93,7 +123,7 @@ def read_zone_lookup(spark: SparkSession, path: str, on_error: str = "raise") ->
     names = [c for c in ("Borough", "Zone", "service_zone") if c in raw.columns]
     placed = raw.select(F.col("LocationID").try_cast("double").cast("int").alias("LocationID"), *names,
                         *[column.alias(name) for name, column in _position().items()])
-    last = F.max_by(F.struct(*names), F.struct("block_start", "row_in_block")).alias("last")
+    last = F.max_by(F.struct(*names), F.struct("file", "block_start", "row_in_block")).alias("last")
     by_id = placed.filter("LocationID IS NOT NULL").groupBy("LocationID").agg(last)
     return by_id.select("LocationID", *[F.col(f"last.{c}") for c in names])
 

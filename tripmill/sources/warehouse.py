@@ -65,12 +65,16 @@ class Warehouse:
         self.drop(["dim_weather", "hot_fares"])
         for table in STAR_TABLES:
             if self.exists(f"{table}{PENDING}"):
-                self.drop([table])
-                self.spark.sql(f"ALTER TABLE {self.name(table + PENDING)} RENAME TO {self.name(table)}")
+                self.publish_table(table)
         # A catalog that keeps partition locations does not always carry them over.
         self.spark.sql(f"ALTER TABLE {self.name('fact_trips')} RECOVER PARTITIONS")
         return self.load_star()
 
+    def publish_table(self, table: str) -> None:
+        """Replace one table by its pending form, once that is complete."""
+        self.drop([table])
+        self.spark.sql(f"ALTER TABLE {self.name(table + PENDING)} RENAME TO {self.name(table)}")
+
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
