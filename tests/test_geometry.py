@@ -34,3 +34,26 @@ def test_vertex_centroids_do_not_depend_on_layout(spark):
     df = spark.range(1000).selectExpr("IF(id % 3 > 0, 1L, id % 7) AS feature_id", "CAST(id AS DOUBLE) AS x", "CAST(-id AS DOUBLE) AS y")
     a = sorted(map(tuple, geometry.vertex_centroids(df.repartition(17)).collect()))
     assert a == sorted(map(tuple, geometry.vertex_centroids(df.coalesce(1)).collect()))
+
+
+def test_published_constants(spark):
+    """A point on the central meridian and one in the city, projected apart from the class under test."""
+    # The forward formulas with the published constants in degrees.
+    e2 = 2 / 298.257222101 - 1 / 298.257222101**2
+    e = math.sqrt(e2)
+    m = lambda d: math.cos(math.radians(d)) / math.sqrt(1 - e2 * math.sin(math.radians(d)) ** 2)
+    t = lambda d: math.tan(math.pi / 4 - math.radians(d) / 2) / (
+        ((1 - e * math.sin(math.radians(d))) / (1 + e * math.sin(math.radians(d)))) ** (e / 2)
+    )
+    south, north, origin = 40 + 40 / 60, 41 + 2 / 60, 40 + 10 / 60
+    n = math.log(m(south) / m(north)) / math.log(t(south) / t(north))
+    unit = 6378137 * m(south) / (n * t(south) ** n)
+    rows = []
+    for lon, lat in ((-74.0, 41 + 10 / 60), (-73.9857, 40.7484)):
+        angle = n * math.radians(lon + 74)
+        x = (unit * t(lat) ** n * math.sin(angle) + 300000) * 3937 / 1200
+        y = (unit * t(origin) ** n - unit * t(lat) ** n * math.cos(angle)) * 3937 / 1200
+        rows.append((lon, lat, x, y))
+    df = spark.createDataFrame(rows, "a double, b double, x double, y double")
+    for r in geometry.reproject(df).collect():
+        assert r["lon"] == pytest.approx(r["a"], abs=1e-9) and r["lat"] == pytest.approx(r["b"], abs=1e-9)

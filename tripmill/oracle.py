@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
-from tripmill.functions.projection import ConicProjection
-from tripmill.plans.derive import DISPLAY_NAMES, ZONE_NAMES
-from tripmill.plans.marts import CORRELATED, PAYMENT_NAMES
+# Fixed values, written out here as well, so that a wrong name in the engine does not pass.
+ZONE_NAMES = {
+    48: "Clinton East", 68: "East Chelsea", 79: "East Harlem North", 90: "Financial District North",
+    132: "JFK Airport", 138: "LaGuardia Airport", 140: "Lenox Hill West", 141: "Lenox Hill East",
+    142: "Lincoln Square East", 161: "Midtown Center", 162: "Midtown East", 163: "Midtown North",
+    164: "Midtown South", 170: "Murray Hill", 186: "Penn Station/Madison Sq West",
+    230: "Times Sq/Theatre District", 234: "Union Sq", 236: "Upper East Side North",
+    237: "Upper East Side South", 239: "Upper West Side North",
+}
+DISPLAY_NAMES = {
+    "trip_duration_min": "Trip Duration", "trip_distance": "Trip Distance", "fare_amount": "Fare Amount",
+    "tip_amount": "Tip Amount", "total_amount": "Total Amount", "passenger_count": "Passenger Count",
+    "temp": "Temperature", "precip": "Precipitation", "hour": "Hour of Day",
+}
+PAYMENT_NAMES = {1: "Credit Card", 2: "Cash", 3: "No Charge", 4: "Dispute", 5: "Unknown", 6: "Voided Trip"}
+CORRELATED = (
+    "trip_duration_min", "trip_distance", "fare_amount", "tip_amount", "total_amount", "passenger_count",
+    "temp", "precip", "hour",
+)
 
 MONEY = "fare_amount, tip_amount, total_amount, extra, tolls_amount, congestion_surcharge, mta_tax"
 CHARGES = "fare_amount + extra + mta_tax + tolls_amount + congestion_surcharge + tip_amount"
@@ -228,17 +244,31 @@ def points_sql() -> str:
 
 
 def projected_sql() -> str:
-    p = ConicProjection()
-    e = repr(p.eccentricity)
+    """The inverse projection from its published definition (EPSG:2263, GRS 80), all of it in SQL.
+
+    m and t are Snyder's auxiliary functions of a latitude.
+    """
+    e = "sqrt(2 / 298.257222101e0 - 1 / (298.257222101e0 * 298.257222101e0))"
+
+    def m(latitude: str) -> str:
+        return f"(cos(radians({latitude})) / sqrt(1 - pow({e} * sin(radians({latitude})), 2)))"
+
+    def t(latitude: str) -> str:
+        s = f"{e} * sin(radians({latitude}))"
+        return f"(tan(pi() / 4 - radians({latitude}) / 2) / pow((1 - {s}) / (1 + {s}), {e} / 2))"
+
+    south, north, origin = "(40 + 40 / 60e0)", "(41 + 2 / 60e0)", "(40 + 10 / 60e0)"
+    constants = f"""SELECT *, 6378137e0 * {m(south)} / (n * pow({t(south)}, n)) AS radius_unit FROM (
+        SELECT (ln({m(south)}) - ln({m(north)})) / (ln({t(south)}) - ln({t(north)})) AS n)"""
     steps = f"""SELECT feature_id, part, seq, t, theta, pi() / 2 - 2 * atan(t) AS p0 FROM (
-        SELECT *, pow(sqrt(east * east + north * north) / {p.scale!r}, {1 / p.cone!r}) AS t, atan2(east, north) / {p.cone!r} AS theta
-        FROM (SELECT *, x * {p.metres_per_unit!r} - {p.false_easting_m!r} AS east,
-                {p.origin_radius + p.false_northing_m!r} - y * {p.metres_per_unit!r} AS north FROM vertices))"""
-    for i in range(p.rounds):
+        SELECT *, pow(sqrt(east * east + north * north) / radius_unit, 1 / n) AS t, atan2(east, north) / n AS theta
+        FROM (SELECT v.*, c.*, x * (1200 / 3937e0) - 300000 AS east,
+                c.radius_unit * pow({t(origin)}, c.n) - y * (1200 / 3937e0) AS north FROM vertices v, ({constants}) c))"""
+    for i in range(5):
         s = f"{e} * sin(p{i})"
-        steps = f"SELECT *, pi() / 2 - 2 * atan(t * pow((1 - {s}) / (1 + {s}), {p.eccentricity / 2!r})) AS p{i + 1} FROM ({steps})"
-    return f"""SELECT feature_id, part, seq, {even(f"degrees(theta) + {p.origin_longitude!r}", 6)} AS lon,
-        {even(f"degrees(p{p.rounds})", 6)} AS lat FROM ({steps})"""
+        steps = f"SELECT *, pi() / 2 - 2 * atan(t * pow((1 - {s}) / (1 + {s}), {e} / 2)) AS p{i + 1} FROM ({steps})"
+    return f"""SELECT feature_id, part, seq, {even(f"degrees(theta) - 74e0", 6)} AS lon,
+        {even(f"degrees(p5)", 6)} AS lat FROM ({steps})"""
 
 
 def correlation_sql() -> str:
@@ -469,6 +499,14 @@ def sql() -> dict[str, str]:
         "g06_reproject": s(projected_sql()),
         "g07_location_count": s("SELECT count(DISTINCT location_text) AS locations FROM features"),
     }
+    trained = {
+        "m03_checks": ("clustering", "2 AS clusters, 2 AS names, true AS short_is_shorter, true AS nearest, true AS best"),
+        "m09_checks": ("cluster_data", "3 AS clusters, true AS nearest"),
+        "m10_checks": ("cluster_data", "3 AS clusters, true AS by_fare, true AS best"),
+    }
+    for name, (mart, facts) in trained.items():
+        facts = facts.replace("2 AS", "CAST(2 AS BIGINT) AS").replace("3 AS", "CAST(3 AS BIGINT) AS")
+        result[name] = s(f"SELECT count(*) AS trips, {facts} FROM ({bodies[mart]})")
     # The same rows whatever the size of a dimension makes of the joins.
     for name in ("t12_fare_join", "t15_star", "q04_fare_weekday", "q12_clustering"):
         result[f"{name}_large"] = result[name]

@@ -46,6 +46,8 @@ class Prepared:
         self._features: DataFrame | None = None
         self._tips = None
         self._large: Star | None = None
+        self._named: DataFrame | None = None
+        self._trained: tuple[DataFrame, segments.Fit] | None = None
         name = f"trips_{uuid.uuid4().hex[:12]}"
         self.warehouse = Warehouse(spark, name, f"{shared_folder(spark)}/{name}")
 
@@ -113,8 +115,17 @@ class Prepared:
 
     @property
     def named(self) -> DataFrame:
-        assigned = segments.assign(self.marts.clustering(), CENTROIDS, segments.FEATURES, "trip_cluster")
-        return segments.name_segments(assigned)
+        """Assigned once and stored, as naming reads the rows twice and four reports share them."""
+        if self._named is None:
+            assigned = segments.assign(self.marts.clustering(), CENTROIDS, segments.FEATURES, "trip_cluster")
+            self._named = segments.name_segments(self.stage.save(assigned, "assigned"))
+        return self._named
+
+    @property
+    def trained(self) -> tuple[DataFrame, segments.Fit]:
+        if self._trained is None:
+            self._trained = segments.trip_segments(self.marts.clustering(), self.stage)
+        return self._trained
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
@@ -645,7 +656,8 @@ def filled_features(p: Prepared) -> DataFrame:
 
 @query("m02_standardise")
 def standardise(p: Prepared) -> DataFrame:
-    ready = segments.standardise(p.marts.clustering().select(*segments.FEATURES))
+    # Stored, because the statistics and the result both read the rows.
+    ready = segments.standardise(p.stage.save(p.marts.clustering().select(*segments.FEATURES), "features"))
     return ready.withColumns({c: round_even(F.col(c), 6) for c in segments.scaled()})
 
 
@@ -655,6 +667,50 @@ def trip_segments(p: Prepared) -> DataFrame:
     return segments.segment_statistics(named)
 
 
+def _nearest(df: DataFrame, centroids: list[list[float]], features: list[str], cluster: str):
+    """Whether no row has a centroid that is nearer than its own."""
+    squares = [sum(((F.col(c) - x) * (F.col(c) - x) for c, x in zip(features, m)), F.lit(0.0)) for m in centroids]
+    own = F.get(F.array(*squares), F.col(cluster))
+    return (F.count_if(own > F.least(*squares) + 1e-9) == 0).alias("nearest")
+
+
+@query("m03_checks")
+def trip_segment_checks(p: Prepared) -> DataFrame:
+    """What must hold of any trained segments."""
+    named, best = p.trained
+    level = sum((F.col(c) for c in segments.FEATURES), F.lit(0.0))
+    short = F.avg(F.when(F.col("trip_type") == segments.SHORT_TRIPS, level))
+    long = F.avg(F.when(F.col("trip_type") == segments.LONG_TRIPS, level))
+    return named.agg(
+        F.count("*").alias("trips"),
+        F.count_distinct("trip_cluster").alias("clusters"),
+        F.count_distinct("trip_type").alias("names"),
+        (short < long).alias("short_is_shorter"),
+        _nearest(named, best.centroids, segments.scaled(), "trip_cluster"),
+        F.lit(all(best.cost <= c for c in best.costs)).alias("best"),
+    )
+
+
+@query("m09_checks")
+def tip_cluster_checks(p: Prepared) -> DataFrame:
+    _, best = p.tips
+    assigned = segments.assign(p.marts.cluster_data(), best.centroids, segments.TIP_FEATURES, "cluster")
+    near = _nearest(assigned, best.centroids, list(segments.TIP_FEATURES), "cluster")
+    return assigned.agg(F.count("*").alias("trips"), F.count_distinct("cluster").alias("clusters"), near)
+
+
+@query("m10_checks")
+def tip_centroid_checks(p: Prepared) -> DataFrame:
+    centroids, best = p.tips
+    fares = F.transform(F.array_sort(F.collect_list(F.struct("cluster", "fare_amount"))), lambda x: x["fare_amount"])
+    return centroids.agg(
+        F.sum("trips").alias("trips"),
+        F.count("*").alias("clusters"),
+        (fares == F.array_sort(fares)).alias("by_fare"),
+        F.lit(all(best.cost <= c for c in best.costs)).alias("best"),
+    )
+
+
 @query("m04_names")
 def named_segments(p: Prepared) -> DataFrame:
     return p.named.select(*segments.FEATURES, "trip_cluster", "trip_type")
