@@ -9,7 +9,9 @@ distance.
 A first pass over the segments keeps hashes alone, and finds the segments where different lines meet. They
 fill a Bloom filter of bounded size, by which a second pass leaves all other segments where they are. In a
 segment each line is first compared with its earliest line, which takes one row for each line; only lines
-that this does not settle are compared with the others.
+that this does not settle are compared with the others, and only where counts of frequent letters allow it.
+
+Edits are of bytes of UTF-8, so that places in a line are found without walking through its characters.
 """
 
 from __future__ import annotations
@@ -25,19 +27,23 @@ from tripmill.llm import bloom
 from tripmill.llm.common import checkpointed, text_of
 
 
+# Letters whose counts are compared before texts are: frequent ones in many languages.
+LETTERS = "aeiounrtshdl"
+
+
 @dataclass(frozen=True)
 class Settings:
     edits: int = 2
-    # Lines of fewer characters always stay: brackets, headings and empty lines repeat for good reasons.
+    # Lines of fewer bytes always stay: brackets, headings and empty lines repeat for good reasons.
     shortest: int = 20
     # Words of 64 bits of the filters. Beyond about 6 bits an entry they let more pass, but lose nothing.
     filter_words: int = 1 << 18
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
-    """Lines that are compared: place (id, number from 0), text, length, and a 128-bit hash of the text."""
+    """Lines that are compared: place (id, number from 0), text, bytes, and a 128-bit hash of the text."""
     split = docs.select(docs[doc_id].alias("doc_id"), F.posexplode(F.split(text_of(text), "\n")).alias("line_no", "line"))
-    long = split.withColumn("size", F.char_length("line")).where(F.col("size") >= settings.shortest)
+    long = split.withColumn("size", F.octet_length("line")).where(F.col("size") >= settings.shortest)
     return long.withColumn("h", _hash("line"))
 
 
@@ -45,29 +51,37 @@ def _hash(line: str) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
-def _segment(size: Column, i: int, k: int) -> tuple[Column, Column]:
-    """First character (from 1) and length of segment i of a line; the later segments take what is left over."""
-    base = (size / (k + 1)).cast("int")
-    longer = size % (k + 1)
-    before = k + 1 - longer
-    start = i * base + F.greatest(F.lit(0), F.lit(i) - before) + 1
-    return start, base + (F.lit(i) >= before).cast("int")
-
+def _probes(k: int) -> list[tuple[int, int, int]]:
+    """(bytes less, segment, shift): the segments under which a line stands.
 
-def _keys(k: int) -> Column:
-    """Hashes of the segments that a line stands under: its own ones, and those of shorter lines that it probes."""
-    size = F.col("size")
-    keys = []
+    For a line that is so many bytes shorter, at most i edits moved segment i from its start, and at most
+    k - i from its end. With nothing less and no shift these are the line's own segments.
+    """
+    found = []
     for less in range(k + 1):
         for i in range(k + 1):
-            start, length = _segment(size - less, i, k)
-            # Before segment i at most i edits, and behind it at most k - i, moved it.
             low, high = max(-i, less - (k - i)), min(i, less + (k - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                key = F.xxhash64(F.lit(i), size - less, F.substring(F.col("line"), at, length))
-                keys.append(F.when((at >= 1) & (at + length - 1 <= size), key))
-    return F.array_compact(F.array(*keys))
+            found += [(less, i, shift) for shift in range(low, high + 1)]
+    return found
+
+
+def _keyed(lines: DataFrame, k: int, *columns: str) -> DataFrame:
+    """The columns and ``key``, a hash of a segment with its number and the length of its line.
+
+    The probes are spread over rows and not over columns: one small expression stays within what the JVM
+    compiles, where one for each probe does not.
+    """
+    probes = F.array(*[F.struct(F.lit(a).alias("less"), F.lit(i).alias("i"), F.lit(m).alias("shift")) for a, i, m in _probes(k)])
+    spread = lines.select(*columns, "size", F.col("line").cast("binary").alias("raw"), F.inline(probes))
+    of = F.col("size") - F.col("less")
+    base, longer = F.expr(f"(size - less) div {k + 1}").cast("int"), of % (k + 1)
+    # The last segments are a byte longer, as many of them as bytes are left over.
+    short = k + 1 - longer
+    start = F.col("i") * base + F.greatest(F.lit(0), F.col("i") - short) + 1 + F.col("shift")
+    length = base + F.when(F.col("i") >= short, 1).otherwise(0)
+    placed = spread.select(*columns, "size", "raw", "i", of.alias("of"), start.alias("start"), length.alias("length"))
+    inside = placed.where("of > 0 and start >= 1 and start + length - 1 <= size")
+    return inside.select(*columns, F.xxhash64("i", "of", F.expr("substring(raw, start, length)")).alias("key"))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -84,7 +98,7 @@ def _without_equal_start(a: Column, b: Column) -> Column:
 
 
 def within_edits(a: Column, b: Column, k: int) -> Column:
-    """Whether two arrays of characters differ by at most k edits: bit vectors on a diagonal band.
+    """Whether two arrays differ by at most k edits: bit vectors on a diagonal band.
 
     Equal starts and ends are cut off; what is left goes through Hyyro's banded form of Myers' algorithm.
     """
@@ -98,7 +112,8 @@ def _near(pattern: Column, chars: Column, k: int) -> Column:
     """The band holds 2 k + 1 rows around the diagonal, so one integer does for lines of any length.
 
     It moves down a row with each character. The distance is followed along the lowest diagonal of the
-    band until that leaves the pattern, and then along the pattern's last row.
+    band until that leaves the pattern, and then along the pattern's last row. It never falls on the diagonal
+    and has at most 2 k steps on the row, so beyond 3 k nothing needs to be followed any more.
     """
     m, n = F.size(pattern), F.size(chars)
     mask, top = (1 << (2 * k + 1)) - 1, 1 << (2 * k)
@@ -132,7 +147,7 @@ def _near(pattern: Column, chars: Column, k: int) -> Column:
                 (state["score"] + F.when(i < m - k, on_diagonal).otherwise(change)).alias("score"),
             )
 
-        return _let(equal_rows(i), from_match)
+        return F.when(state["score"] > 3 * k, state).otherwise(_let(equal_rows(i), from_match))
 
     start = F.struct(
         F.lit(((1 << (k + 1)) - 1) << k).alias("vp"), F.lit(0).alias("vn"), F.least(m, F.lit(k)).alias("score")
@@ -141,10 +156,21 @@ def _near(pattern: Column, chars: Column, k: int) -> Column:
     return F.when((m == 0) | (n == 0), F.greatest(m, n) <= k).when(F.abs(m - n) > k, False).otherwise(score <= k)
 
 
+def _bytes(line: str) -> Column:
+    """A text as an array of its bytes, each as one character of Latin-1."""
+    return F.split(F.decode(F.col(line).cast("binary"), "ISO-8859-1"), "")
+
+
+def _letters(line: str) -> Column:
+    """Counts of frequent letters: an edit changes their sum of differences by two at most."""
+    size = F.octet_length(line)
+    return F.array(*[(size - F.octet_length(F.translate(F.col(line), c, ""))) for c in LETTERS])
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Hashes u of the pairs (u, v) whose texts are within k edits."""
-    a = texts.select(F.col("h").alias("u"), F.split("line", "").alias("chars_u"))
-    b = texts.select(F.col("h").alias("v"), F.split("line", "").alias("chars_v"))
+    a = texts.select(F.col("h").alias("u"), _bytes("line").alias("chars_u"))
+    b = texts.select(F.col("h").alias("v"), _bytes("line").alias("chars_v"))
     joined = pairs.join(a, "u").join(b, "v")
     return joined.where(within_edits(F.col("chars_u"), F.col("chars_v"), k)).select(F.col("u").alias("h")).distinct()
 
@@ -152,13 +178,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     """Hashes of the lines that have an earlier line, by first place, within the edits."""
     k = settings.edits
-    small = lines.select("h", "doc_id", "line_no", F.explode(_keys(k)).alias("key"))
     # Copies have equal hashes, so a segment that only copies share is none where lines meet.
-    one = F.col("h.a")
-    met = small.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high").select("key")
-    met = checkpointed(met)
+    ends = [F.min("one").alias("low"), F.max("one").alias("high")]
+    met = _keyed(lines.select("line", "size", F.col("h.a").alias("one")), k, "one").groupBy("key").agg(*ends)
+    met = checkpointed(met.where("low <> high").select("key"))
     there = bloom.build(met, settings.filter_words, 4, 1)
-    members = small.where(there.holds(F.col("key"))).groupBy("key", "h").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
+    small = _keyed(lines, k, "h", "doc_id", "line_no").where(there.holds(F.col("key")))
+    members = small.groupBy("key", "h").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
     members = checkpointed(members)
     leaders = members.groupBy("key").agg(F.min(F.struct("place", "h")).alias("leader"), F.count("*").alias("n")).where("n > 1")
     led = checkpointed(members.join(leaders.select("key", F.col("leader.h").alias("leader")), "key"))
@@ -168,10 +194,13 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     texts = lines.where(known.holds(F.col("h.a"))).join(wanted, "h", "left_semi")
     texts = checkpointed(texts.groupBy("h").agg(F.first("line").alias("line")))
     settled = checkpointed(_verified(first_pairs, texts, k))
-    open_rows = led.where("h <> leader").join(settled, "h", "left_anti")
-    u = open_rows.select("key", F.col("h").alias("u"), F.col("place").alias("at_u"))
-    v = led.where("h <> leader").select("key", F.col("h").alias("v"), F.col("place").alias("at_v"))
-    rest = u.join(v, (u["key"] == v["key"]) & (F.col("at_v") < F.col("at_u"))).select("u", "v").distinct()
+    others = led.where("h <> leader").join(texts.select("h", _letters("line").alias("letters")), "h")
+    u = others.join(settled, "h", "left_anti")
+    u = u.select("key", F.col("h").alias("u"), F.col("place").alias("at_u"), F.col("letters").alias("in_u"))
+    v = others.select(F.col("key").alias("at"), F.col("h").alias("v"), F.col("place").alias("at_v"), F.col("letters").alias("in_v"))
+    apart = sum((F.abs(F.col("in_u")[i] - F.col("in_v")[i]) for i in range(len(LETTERS))), F.lit(0))
+    may_be = (F.col("key") == F.col("at")) & (F.col("at_v") < F.col("at_u")) & (apart <= 2 * k)
+    rest = u.join(v, may_be).select("u", "v").distinct()
     return settled.union(_verified(rest, texts, k))
 
 
@@ -182,7 +211,7 @@ def duplicate_lines(
 
     A line goes where an earlier place (by id, then line number; a null id comes first) has the same line,
     or where its text has an earlier first place of another text within the edits (``near``). Lines are parted
-    by line feeds; edits are of characters. Lines below ``Settings.shortest`` characters always stay. Null and
+    by line feeds; edits are of bytes of UTF-8. Lines below ``Settings.shortest`` bytes always stay. Null and
     empty texts have no line. Rows that repeat an id are one document: the same place twice is no duplicate.
     """
     lines = _lines(docs, doc_id, text, settings)

@@ -35,6 +35,24 @@ FROM parsed LEFT JOIN fits USING (page)
 """
 
 
+LINE_DEDUP = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, CAST(n - 1 AS INTEGER) AS line_no, parts[n] AS line
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n FROM split)
+  WHERE strlen(parts[n]) >= 20
+), firsts AS (
+  SELECT line, strlen(line) AS size, min(struct_pack(d := doc_id, n := line_no)) AS place FROM lines GROUP BY line
+), near AS (
+  SELECT DISTINCT u.line FROM firsts u JOIN firsts v
+    ON v.size BETWEEN u.size - 2 AND u.size + 2 AND v.place < u.place AND levenshtein(u.line, v.line) <= 2
+)
+SELECT DISTINCT l.doc_id, l.line_no, n.line IS NOT NULL AS near
+FROM lines l JOIN firsts f USING (line) LEFT JOIN near n USING (line)
+WHERE n.line IS NOT NULL OR (l.doc_id, l.line_no) <> (f.place.d, f.place.n)
+"""
+
+
 def sql() -> dict[str, str]:
-    twins = {"op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER, "pipeline": corpus_pipeline.ORACLE_SQL}
+    twins = {"op7_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {name: twin for name, twin in twins.items() if twin}
