@@ -28,7 +28,7 @@ def test_run_equals_brute_force(spark):
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     model = toxicity.train(table, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
     rows = [(r["doc_id"], r["text"]) for r in table.collect()]
-    scores = model.scores(pa.array([t.lower() for _, t in rows]))
+    scores = model.scores(pa.array([t for _, t in rows]))
     rows = [r for r, s in zip(rows, scores) if s < 0.5]
     gone = {(d, n) for d, n, _ in test_line_dedup.brute(rows)}
     rows = [(d, "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) not in gone)) for d, t in rows]

@@ -233,6 +233,8 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                     listed, ends = ids.tolist(), offsets.tolist()
                     columns.append(pa.array([model.decode(listed[a:b]) for a, b in zip(ends, ends[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+        # The worker may live on with other work.
+        model.clear()
 
     return source.mapInArrow(run, T.StructType(fields))
 

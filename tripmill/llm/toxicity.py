@@ -12,13 +12,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import blocks, checkpointed, text_of
+from tripmill.llm.common import blocks, checkpointed, text_of, utf8
 
 _SEED = np.uint32(2166136261)
 _PRIME = np.uint32(16777619)
@@ -47,13 +48,15 @@ def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def present_buckets(texts: pa.Array, sizes: tuple[int, ...], bits: int) -> Iterator[np.ndarray]:
     """For each text, the buckets of the n-grams that occur in it, each once.
 
-    A text stands between two spaces, so that words at its ends look as they do inside. Of the places of
-    a bucket the last one written to a table counts, which needs no sorting and no clearing.
+    Case makes no difference. A text stands between two spaces, so that words at its ends look as they do
+    inside. Of the places of a bucket the last one written to a table counts, which needs no sorting and no
+    clearing.
     """
     table = np.zeros(1 << bits, np.int64)
     shift = np.uint32(32 - bits)
-    for _, _, data, offsets in blocks(texts):
-        points, ends = characters(data, offsets)
+    for first, last, _, _ in blocks(texts):
+        lowered = pc.utf8_lower(texts.slice(first, last - first).fill_null(""))
+        points, ends = characters(*utf8(lowered))
         for begin, end in zip(ends[:-1], ends[1:]):
             text = np.empty(end - begin + 2, np.uint32)
             text[0] = text[-1] = 0x20
@@ -125,7 +128,7 @@ def train(
     unit = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
     chosen = known.where(unit < F.when(F.col("_label") == 1, settings.rows / total[1]).otherwise(settings.rows / total[0]))
     texts = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("_text"))
-    sample = texts.join(F.broadcast(chosen), "_id").select(F.lower("_text").alias("_text"), "_label")
+    sample = texts.join(F.broadcast(chosen), "_id").select("_text", "_label")
     sample = checkpointed(sample).coalesce(max(4, docs.sparkSession.sparkContext.defaultParallelism))
     counts = _document_counts(sample, settings)
     seen = {r["_label"]: r["count"] for r in sample.groupBy("_label").count().collect()}
@@ -211,16 +214,16 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "scor
     Scored in place: nothing is shuffled. Null counts as empty; an empty text gets the score of a text with
     no known n-gram. A column of the same name, in any case, gives way to the score.
     """
-    kept = [c for c in docs.columns if c.lower() != column.lower()]
-    # The lower-cased copy stands last and under a name that no column has.
-    name = "_" * (1 + max([len(c) for c in docs.columns], default=0))
-    source = docs.select(*[docs[c] for c in kept], F.lower(text_of(text)).alias(name))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField(column, T.DoubleType())])
+    source = docs.select(*[docs[c] for c in docs.columns if c == text or c.lower() != column.lower()])
+    at = source.columns.index(text)
+    gone = text.lower() == column.lower()
+    fields = [f for f in source.schema.fields if not (gone and f.name == text)]
+    schema = T.StructType([*fields, T.StructField(column, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [*batch.columns[:-1], pa.array(model.scores(batch.column(batch.num_columns - 1)))]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+            columns = [c for i, c in enumerate(batch.columns) if not (gone and i == at)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(model.scores(batch.column(at)))], schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -232,9 +235,9 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.scores(batch.column(batch.num_columns - 1))
-            part = batch.filter(pa.array(scores < threshold))
-            yield pa.RecordBatch.from_arrays(part.columns[:-1], schema.names)
+            # Small parts, so that what is kept is never a second copy of a whole batch.
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                yield part.filter(pa.array(model.scores(part.column(at)) < threshold))
 
-    lowered = F.lower(text_of(docs.columns[at])).alias("_" * (1 + max(map(len, docs.columns))))
-    return docs.select("*", lowered).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
