@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import blocks, text_of
+from tripmill.llm.common import blocks, checkpointed, text_of
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,9 @@ def repeated_spans(
     place = F.struct("doc_id", "start")
     # Partial sums: a chunk that many documents share arrives as one row from each task.
     groups = pieces.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1")
-    repeats = pieces.join(groups.select("digest", "first"), "digest").where(F.col("first") != place)
+    # Written, so that the join deals both sides anew and Spark can split a digest that very many places have.
+    groups = checkpointed(groups.select("digest", "first"))
+    repeats = pieces.join(groups, "digest").where(F.col("first") != place)
     of_text = Window.partitionBy("doc_id").orderBy("start")
     behind = F.lag(F.col("start") + F.col("size")).over(of_text)
     fresh = F.when(behind.isNull() | (F.col("start") > behind), F.col("start"))
