@@ -46,7 +46,7 @@ def stratified_sample(
     which a stratum's rows are taken is found by counting: bins of the hash first, then bins inside the one
     in which the wanted number is reached. All rows below that narrow bin are taken as they are; only the
     rows inside it are put in order. Rows that share a key share a hash; which of them are taken when not
-    all are wanted depends on their layout.
+    all are wanted depends on their layout. The input is read a handful of times: pass stored rows.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
     targets = stratum_targets(sizes, total, floor)
