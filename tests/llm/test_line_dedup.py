@@ -87,7 +87,7 @@ def test_families_of_lines(spark, k):
         picked = [edited(rng.choice(base), rng.choice((0, 0, 1, 2, 3, 5)), rng) for _ in range(rng.randint(0, 5))]
         rows.append((i, "\n".join([*picked, "", "short"])))
     docs = spark.createDataFrame([(*r, "x", True) for r in rows], "doc_id long, text string, h string, near boolean")
-    setting = Settings(edits=k, filter_words=4096)
+    setting = Settings(edits=k, filter_log_words=6)
     found = line_dedup.duplicate_lines(docs, settings=setting)
     assert sorted(map(tuple, found.collect()), key=str) == brute(rows, setting)
     left = {r["doc_id"]: r for r in line_dedup.without_lines(docs, found).collect()}

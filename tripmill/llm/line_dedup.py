@@ -36,8 +36,8 @@ class Settings:
     edits: int = 2
     # Lines of fewer bytes always stay: brackets, headings and empty lines repeat for good reasons.
     shortest: int = 20
-    # Words of 64 bits of the filters. Beyond about 6 bits an entry they let more pass, but lose nothing.
-    filter_words: int = 1 << 18
+    # The filters have 2 ** so many words of 64 bits. Very many entries let more pass, but lose nothing.
+    filter_log_words: int = 18
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
@@ -182,7 +182,7 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     ends = [F.min("one").alias("low"), F.max("one").alias("high")]
     met = _keyed(lines.select("line", "size", F.col("h.a").alias("one")), k, "one").groupBy("key").agg(*ends)
     met = checkpointed(met.where("low <> high").select("key"))
-    there = bloom.build(met, settings.filter_words, 4, 1)
+    there = bloom.build_hashed(met, settings.filter_log_words)
     small = _keyed(lines, k, "h", "doc_id", "line_no").where(there.holds(F.col("key")))
     members = small.groupBy("key", "h").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
     members = checkpointed(members)
@@ -190,18 +190,22 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     led = checkpointed(members.join(leaders.select("key", F.col("leader.h").alias("leader")), "key"))
     first_pairs = led.where("h <> leader").select(F.col("h").alias("u"), F.col("leader").alias("v")).distinct()
     wanted = checkpointed(led.select("h").distinct())
-    known = bloom.build(wanted.select(F.col("h.a").alias("key")), settings.filter_words, 4, 2)
+    known = bloom.build_hashed(wanted.select(F.col("h.a").alias("key")), settings.filter_log_words)
     texts = lines.where(known.holds(F.col("h.a"))).join(wanted, "h", "left_semi")
     texts = checkpointed(texts.groupBy("h").agg(F.first("line").alias("line")))
     settled = checkpointed(_verified(first_pairs, texts, k))
-    others = led.where("h <> leader").join(texts.select("h", _letters("line").alias("letters")), "h")
-    u = others.join(settled, "h", "left_anti")
-    u = u.select("key", F.col("h").alias("u"), F.col("place").alias("at_u"), F.col("letters").alias("in_u"))
-    v = others.select(F.col("key").alias("at"), F.col("h").alias("v"), F.col("place").alias("at_v"), F.col("letters").alias("in_v"))
+    others = led.where("h <> leader").join(texts.select("h", "line", _letters("line").alias("letters")), "h")
+    u = others.join(settled, "h", "left_anti").select(
+        "key", "h", F.col("place").alias("at_u"), F.col("letters").alias("in_u"), F.col("line").alias("line_u")
+    )
+    v = others.select(
+        F.col("key").alias("at"), F.col("place").alias("at_v"), F.col("letters").alias("in_v"), F.col("line").alias("line_v")
+    )
     apart = sum((F.abs(F.col("in_u")[i] - F.col("in_v")[i]) for i in range(len(LETTERS))), F.lit(0))
-    may_be = (F.col("key") == F.col("at")) & (F.col("at_v") < F.col("at_u")) & (apart <= 2 * k)
-    rest = u.join(v, may_be).select("u", "v").distinct()
-    return settled.union(_verified(rest, texts, k))
+    # The cheaper tests first; a pair that fails the last one is never a row.
+    alike = (F.col("key") == F.col("at")) & (F.col("at_v") < F.col("at_u")) & (apart <= 2 * k)
+    linked = u.join(v, alike & within_edits(_bytes("line_u"), _bytes("line_v"), k)).select("h").distinct()
+    return settled.union(linked)
 
 
 def duplicate_lines(
@@ -219,7 +223,8 @@ def duplicate_lines(
     places = lines.select("h", F.struct("doc_id", "line_no").alias("place"))
     firsts = places.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     bad = firsts.join(near, "h", "left").where("near or first <> last")
-    bad = bad.select("h", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    # Written, so that the join deals both sides anew and Spark can split a line that very many places have.
+    bad = checkpointed(bad.select("h", "first", F.coalesce("near", F.lit(False)).alias("near")))
     found = places.join(bad, "h").where("near or place <> first")
     return found.select(F.col("place.doc_id").alias(doc_id), "place.line_no", "near").distinct()
 
