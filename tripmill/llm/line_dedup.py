@@ -183,7 +183,10 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     met = _keyed(lines.select("line", "size", F.col("h.a").alias("one")), k, "one").groupBy("key").agg(*ends)
     met = checkpointed(met.where("low <> high").select("key"))
     there = bloom.build_hashed(met, settings.filter_log_words)
-    small = _keyed(lines, k, "h", "doc_id", "line_no").where(there.holds(F.col("key")))
+    # A filter that mentions the key several times would be pushed down and hash the segment as often; it
+    # cannot pass the explode of one element.
+    keyed = _keyed(lines, k, "h", "doc_id", "line_no")
+    small = keyed.select("h", "doc_id", "line_no", F.explode(F.array("key")).alias("key")).where(there.holds(F.col("key")))
     members = small.groupBy("key", "h").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
     members = checkpointed(members)
     leaders = members.groupBy("key").agg(F.min(F.struct("place", "h")).alias("leader"), F.count("*").alias("n")).where("n > 1")
