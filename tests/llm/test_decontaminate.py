@@ -116,3 +116,27 @@ def test_query_over_the_table(spark):
                 if best <= int(0.05 * len(item)):
                     want[d["doc_id"], i["item_id"]] = best
     assert found == want and found
+
+
+def test_item_that_lost_its_middle_line(spark):
+    lines = ["What did the keeper of the old lighthouse write into his book that night?", "He wrote that no ship had passed.", "Which of the four answers below is the one that he would have given himself?"]
+    item = "\n".join(lines)
+    texts = [f"some text before\n{lines[0]}\n{lines[2]}\nand some text after", item, lines[1], f"so {lines[0][:60]} x", item.replace("\n", "\n\n "), lines[2] + " and " + lines[0].upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(7, item), (8, None), (9, "short")], "item_id int, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["edits"], r["covered"]) for r in decontaminate.cover(docs, items).collect()}
+    share = (len(lines[0]) + len(lines[2])) / len(item)
+    assert found == {(0, 7): (None, share), (1, 7): (0, 1.0), (4, 7): (0, 1.0), (5, 7): (None, share)}
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == [2, 3]
+    assert decontaminate.cover(docs, items.limit(0)).count() == 0
+
+
+def test_windows_see_parts_within_lines():
+    rng = random.Random(5)
+    item = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(60))
+    half = len(item) * 6 // 10
+    pieces = decontaminate.Pieces([(1, item)], Settings())
+    docs = [item[:half], "x " + item[-half:], item[: len(item) // 3], item[: half // 2] + " " + item[-half // 2 :], item]
+    found = {row: covered for row, _, covered, _ in pieces.search(pa.array(docs))}
+    assert sorted(found) == [0, 1, 3, 4] and found[4] == 1
+    assert all(0.5 <= found[row] <= 0.62 for row in (0, 1, 3))

@@ -6,6 +6,10 @@ place in the item). Hits are counted in bands of diagonals that overlap by k, so
 Bands that reach the bound are aligned inside the band; rows with at most k edits are results.
 
 Items come in blocks of bounded size, whose q-gram index travels to the tasks; documents stay in place.
+
+A document may also hold an item in parts, as when a line was cut out of it. So pieces of items are looked for
+in the same way, each with its own edits: the whole item, its lines, and overlapping windows. The characters
+of an item that lie in a found piece, as a share of all its characters, are what a document covers of it.
 """
 
 from __future__ import annotations
@@ -38,6 +42,11 @@ class Settings:
     edits: float = 0.05
     # Characters of items that are matched in one go.
     block_characters: int = 8_000_000
+    # Windows of so many characters begin every so many characters of an item.
+    window: int = 48
+    step: int = 12
+    # A document is contaminated if it covers this share of the characters of an item.
+    covered: float = 0.5
 
 
 def _simple_lower(code: int) -> int:
@@ -207,14 +216,75 @@ class Index:
                         yield first + int(d), int(i), int(cost), int(kept[a]) - base, int(kept[b - 1]) + 1 - base
 
 
-def _indexes(items: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[Index]:
-    """Indexes of blocks of items. A row is in a block by its hash, so a block is near its size."""
+class Pieces:
+    """Items of a block with an index of their pieces. Equal pieces are looked for once."""
+
+    def __init__(self, items: list[tuple[int, str]], settings: Settings):
+        self.least = settings.covered
+        self.ids = [i for i, _ in items]
+        self.lengths: list[int] = []
+        self.owners: dict[str, list[tuple[int, int, int]]] = {}
+        for n, (_, text) in enumerate(items):
+            self._add(n, text, settings)
+        self.texts = list(self.owners)
+        self.index = Index(list(enumerate(self.texts)), settings)
+
+    def _add(self, item: int, text: str, settings: Settings) -> None:
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        codes, kept = normalise(points)
+        plain = codes.tobytes().decode("utf-32-le")
+        left, right = len(plain) - len(plain.lstrip(" ")), len(plain.rstrip(" "))
+        self.lengths.append(right - left)
+        feeds = np.searchsorted(kept, np.flatnonzero(points == ord("\n"))).tolist()
+        ranges = [(left, right), *zip([left, *feeds], [*feeds, right])]
+        last = right - settings.window
+        ranges += [(a, a + settings.window) for a in (*range(left, last, settings.step), last) if a >= left]
+        for a, b in ranges:
+            piece = plain[a:b]
+            a, b = a + len(piece) - len(piece.lstrip(" ")), b - (len(piece) - len(piece.rstrip(" ")))
+            if b - a >= settings.q and (item, a - left, b - left) not in (owners := self.owners.setdefault(plain[a:b], [])):
+                owners.append((item, a - left, b - left))
+
+    def search(self, texts: pa.Array) -> Iterator[tuple[int, int, float, tuple[int, int, int] | None]]:
+        """(row, item, covered share, best place of the whole item or None) where enough of an item is covered."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for row, piece, *match in self.index.search(texts):
+            best[row, piece] = min(tuple(match), best.get((row, piece), tuple(match)))
+        ranges: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        whole: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for (row, piece), match in best.items():
+            for item, a, b in self.owners[self.texts[self.index.ids[piece]]]:
+                ranges.setdefault((row, item), []).append((a, b))
+                if b - a == self.lengths[item]:
+                    whole[row, item] = match
+        for (row, item), found in sorted(ranges.items()):
+            covered = reached = 0
+            for a, b in sorted(found):
+                covered += max(0, b - max(a, reached))
+                reached = max(reached, b)
+            if covered >= self.least * self.lengths[item]:
+                yield row, item, covered / self.lengths[item], whole.get((row, item))
+
+
+def _blocks(items: DataFrame, item_id: str, text: str, settings: Settings, weight: int = 1) -> Iterator[list[tuple[int, str]]]:
+    """Blocks of items, each character counted ``weight`` times. A row is in a block by its hash, so a block is near its size."""
     rows = items.select(F.col(item_id).alias("_id"), text_of(text).alias("_text")).where(F.length("_text") >= settings.q)
     total = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
-    parts = -(-total // settings.block_characters)
+    parts = -(-total * weight // settings.block_characters)
     for part in range(parts):
         block = rows.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(parts)) == part)
-        yield Index([(r["_id"], r["_text"]) for r in block.collect()], settings)
+        yield [(r["_id"], r["_text"]) for r in block.collect()]
+
+
+def _indexes(items: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[Index]:
+    for block in _blocks(items, item_id, text, settings):
+        yield Index(block, settings)
+
+
+def _pieces(items: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[Pieces]:
+    # A character is in the whole item, in a line, and in the windows that overlap there.
+    for block in _blocks(items, item_id, text, settings, 2 + -(-settings.window // settings.step)):
+        yield Pieces(block, settings)
 
 
 def find(
@@ -255,6 +325,43 @@ def find(
     return result
 
 
+def cover(
+    docs: DataFrame,
+    items: DataFrame,
+    doc_id: str = "doc_id",
+    item_id: str = "item_id",
+    text: str = "text",
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """Items that documents hold whole or in parts: one row per document and item of which enough is covered.
+
+    The columns of ``find`` and ``covered``, the share of the characters of the item, white space runs as one,
+    that lie in a piece which stands in the document, anywhere, up to the share of edits of the piece. Rows
+    have at least ``Settings.covered``; ``edits``, ``start`` and ``end`` are null unless the whole item stands
+    there, which covers all of it. A rest of a line that is shorter than a window is not seen, and up to
+    ``Settings.step`` characters at the ends of a longer one. Null, short and repeated rows are as in ``find``.
+    """
+    source = docs.select(docs[doc_id].alias(doc_id), text_of(text).alias("_text"))
+    item_field = items.schema[item_id]
+    numbers = [T.StructField(n, T.LongType()) for n in ("edits", "start", "end")]
+    share = T.StructField("covered", T.DoubleType())
+    schema = T.StructType([source.schema[doc_id], T.StructField(item_id, item_field.dataType), *numbers, share])
+    result = docs.sparkSession.createDataFrame([], schema)
+    for pieces in _pieces(items, item_id, text, settings):
+
+        def run(batches: Iterator[pa.RecordBatch], pieces: Pieces = pieces) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = list(pieces.search(batch.column(1)))
+                columns = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))]
+                columns.append(pa.array([pieces.ids[r[1]] for r in rows]).cast(_arrow(item_field.dataType)))
+                columns += [pa.array([r[3] and r[3][n] for r in rows], pa.int64()) for n in range(3)]
+                columns.append(pa.array([r[2] for r in rows], pa.float64()))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+        result = result.union(source.mapInArrow(run, schema))
+    return result
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -264,15 +371,15 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
-    """The rows of ``docs`` in which no item stands, with the columns of ``docs``; nothing is shuffled."""
+    """The rows of ``docs`` that ``cover`` has no row for, with the columns of ``docs``; nothing is shuffled."""
     schema = docs.schema
     at = docs.columns.index(text)
-    for index in _indexes(items, item_id, text, settings):
+    for pieces in _pieces(items, item_id, text, settings):
 
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], pieces: Pieces = pieces) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[row for row, *_ in index.search(batch.column(at))]] = False
+                clean[[row for row, *_ in pieces.search(batch.column(at))]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, schema)

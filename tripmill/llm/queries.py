@@ -48,7 +48,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate.cover(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
