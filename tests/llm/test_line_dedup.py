@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripmill.llm import line_dedup
 from tripmill.llm.line_dedup import Settings
 from tripmill.llm.queries import op7_line_dedup
@@ -115,3 +116,32 @@ def test_query_over_the_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     # Lines of nearly equal length are few, so all pairs can be tried.
     assert sorted(map(tuple, op7_line_dedup(spark, sf_dir).collect()), key=str) == brute(rows)
+
+
+def points_apart(a, b):
+    """Edits of characters: the distance of texts whose characters are one byte each."""
+    code = {c: chr(i) for i, c in enumerate(sorted(set(a + b)))}
+    return distance("".join(map(code.get, a)), "".join(map(code.get, b)))
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_edits_of_characters(spark, k):
+    rng = random.Random(30 + k)
+    base = ["".join(rng.choice("abcé漢字語👍ñ ") for _ in range(rng.randint(20, 40))) for _ in range(8)]
+    lines = [edited(rng.choice(base), rng.choice((0, 1, 1, 2, 3)), rng) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = line_dedup.duplicate_lines(docs, settings=Settings(edits=k, filter_log_words=6, characters=True))
+    first = {}
+    for at, line in enumerate(lines):
+        first.setdefault(line, at)
+    near = {x for x in first if any(first[o] < first[x] and points_apart(o, x) <= k for o in first)}
+    want = [(at, 0, x in near) for at, x in enumerate(lines) if x in near or first[x] != at]
+    assert sorted(map(tuple, found.collect())) == want
+    assert len(want) > line_dedup.duplicate_lines(docs, settings=Settings(edits=k, filter_log_words=6)).count()
+
+
+def test_pipeline_counts_characters(spark):
+    lines = ["これは十分に長い行であり二十字を超えています", "これは十分に長い行であリ二十字を超えていまず", "El niño pequeño come una manzana", "El nino pequeno come una manzana"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    left = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {0: lines[0], 1: "", 2: lines[2], 3: ""}

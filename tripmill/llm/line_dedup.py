@@ -11,7 +11,9 @@ fill a Bloom filter of bounded size, by which a second pass leaves all other seg
 segment each line is first compared with its earliest line, which takes one row for each line; only lines
 that this does not settle are compared with the others, and only where counts of frequent letters allow it.
 
-Edits are of bytes of UTF-8, so that places in a line are found without walking through its characters.
+Edits are of bytes of UTF-8 or of characters. Places in ASCII lines are the same in both, so these are cut as
+bytes; only other lines are walked through when they are cut by characters. Two lines within k bytes are within
+k characters, so counting characters finds all that counting bytes does.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ LETTERS = "aeiounrtshdl"
 @dataclass(frozen=True)
 class Settings:
     edits: int = 2
+    # Count edits in characters, as the queries do, or in bytes, as levenshtein of DuckDB does.
+    characters: bool = False
     # Lines of fewer bytes always stay: brackets, headings and empty lines repeat for good reasons.
     shortest: int = 20
     # The filters have 2 ** so many words of 64 bits. Very many entries let more pass, but lose nothing.
@@ -41,10 +45,11 @@ class Settings:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
-    """Lines that are compared: place (id, number from 0), text, bytes, and a 128-bit hash of the text."""
+    """Lines that are compared: place (id, number from 0), text, size in the unit of edits, and a 128-bit hash of the text."""
     split = docs.select(docs[doc_id].alias("doc_id"), F.posexplode(F.split(text_of(text), "\n")).alias("line_no", "line"))
-    long = split.withColumn("size", F.octet_length("line")).where(F.col("size") >= settings.shortest)
-    return long.withColumn("h", _hash("line"))
+    long = split.where(F.octet_length("line") >= settings.shortest)
+    size = F.char_length("line") if settings.characters else F.octet_length("line")
+    return long.withColumn("size", size).withColumn("h", _hash("line"))
 
 
 def _hash(line: str) -> Column:
@@ -65,23 +70,31 @@ def _probes(k: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _keyed(lines: DataFrame, k: int, *columns: str) -> DataFrame:
+def _keyed(lines: DataFrame, k: int, *columns: str, characters: bool = False) -> DataFrame:
     """The columns and ``key``, a hash of a segment with its number and the length of its line.
 
+    Segments are of bytes, or of characters, as ``size`` is.
+
     The probes are spread over rows and not over columns: one small expression stays within what the JVM
     compiles, where one for each probe does not.
     """
     probes = F.array(*[F.struct(F.lit(a).alias("less"), F.lit(i).alias("i"), F.lit(m).alias("shift")) for a, i, m in _probes(k)])
-    spread = lines.select(*columns, "size", F.col("line").cast("binary").alias("raw"), F.inline(probes))
+    raw = F.col("line").cast("binary").alias("raw")
+    spread = lines.select(*columns, "size", raw, *["line"] * characters, F.inline(probes))
     of = F.col("size") - F.col("less")
     base, longer = F.expr(f"(size - less) div {k + 1}").cast("int"), of % (k + 1)
     # The last segments are a byte longer, as many of them as bytes are left over.
     short = k + 1 - longer
     start = F.col("i") * base + F.greatest(F.lit(0), F.col("i") - short) + 1 + F.col("shift")
     length = base + F.when(F.col("i") >= short, 1).otherwise(0)
-    placed = spread.select(*columns, "size", "raw", "i", of.alias("of"), start.alias("start"), length.alias("length"))
+    kept = [*columns, "size", "raw", *["line"] * characters, "i"]
+    placed = spread.select(*dict.fromkeys(kept), of.alias("of"), start.alias("start"), length.alias("length"))
     inside = placed.where("of > 0 and start >= 1 and start + length - 1 <= size")
-    return inside.select(*columns, F.xxhash64("i", "of", F.expr("substring(raw, start, length)")).alias("key"))
+    segment = F.expr("substring(raw, start, length)")
+    if characters:
+        walked = F.expr("cast(substring(line, start, length) as binary)")
+        segment = F.when(F.octet_length("raw") == F.col("size"), segment).otherwise(walked)
+    return inside.select(*columns, F.xxhash64("i", "of", segment).alias("key"))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -161,18 +174,23 @@ def _bytes(line: str) -> Column:
     return F.split(F.decode(F.col(line).cast("binary"), "ISO-8859-1"), "")
 
 
+def _units(line: str, settings: Settings) -> Column:
+    """A text as an array of what edits are counted in."""
+    return F.split(line, "") if settings.characters else _bytes(line)
+
+
 def _letters(line: str) -> Column:
     """Counts of frequent letters: an edit changes their sum of differences by two at most."""
     size = F.octet_length(line)
     return F.array(*[(size - F.octet_length(F.translate(F.col(line), c, ""))) for c in LETTERS])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """Hashes u of the pairs (u, v) whose texts are within k edits."""
-    a = texts.select(F.col("h").alias("u"), _bytes("line").alias("chars_u"))
-    b = texts.select(F.col("h").alias("v"), _bytes("line").alias("chars_v"))
+def _verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Hashes u of the pairs (u, v) whose texts are within the edits."""
+    a = texts.select(F.col("h").alias("u"), _units("line", settings).alias("chars_u"))
+    b = texts.select(F.col("h").alias("v"), _units("line", settings).alias("chars_v"))
     joined = pairs.join(a, "u").join(b, "v")
-    return joined.where(within_edits(F.col("chars_u"), F.col("chars_v"), k)).select(F.col("u").alias("h")).distinct()
+    return joined.where(within_edits(F.col("chars_u"), F.col("chars_v"), settings.edits)).select(F.col("u").alias("h")).distinct()
 
 
 def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
@@ -180,12 +198,12 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     k = settings.edits
     # Copies have equal hashes, so a segment that only copies share is none where lines meet.
     ends = [F.min("one").alias("low"), F.max("one").alias("high")]
-    met = _keyed(lines.select("line", "size", F.col("h.a").alias("one")), k, "one").groupBy("key").agg(*ends)
+    met = _keyed(lines.select("line", "size", F.col("h.a").alias("one")), k, "one", characters=settings.characters).groupBy("key").agg(*ends)
     met = checkpointed(met.where("low <> high").select("key"))
     there = bloom.build_hashed(met, settings.filter_log_words)
     # A filter that mentions the key several times would be pushed down and hash the segment as often; it
     # cannot pass the explode of one element.
-    keyed = _keyed(lines, k, "h", "doc_id", "line_no")
+    keyed = _keyed(lines, k, "h", "doc_id", "line_no", characters=settings.characters)
     small = keyed.select("h", "doc_id", "line_no", F.explode(F.array("key")).alias("key")).where(there.holds(F.col("key")))
     members = small.groupBy("key", "h").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
     members = checkpointed(members)
@@ -196,7 +214,7 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     known = bloom.build_hashed(wanted.select(F.col("h.a").alias("key")), settings.filter_log_words)
     texts = lines.where(known.holds(F.col("h.a"))).join(wanted, "h", "left_semi")
     texts = checkpointed(texts.groupBy("h").agg(F.first("line").alias("line")))
-    settled = checkpointed(_verified(first_pairs, texts, k))
+    settled = checkpointed(_verified(first_pairs, texts, settings))
     others = led.where("h <> leader").join(texts.select("h", "line", _letters("line").alias("letters")), "h")
     u = others.join(settled, "h", "left_anti").select(
         "key", "h", F.col("place").alias("at_u"), F.col("letters").alias("in_u"), F.col("line").alias("line_u")
@@ -207,7 +225,7 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     apart = sum((F.abs(F.col("in_u")[i] - F.col("in_v")[i]) for i in range(len(LETTERS))), F.lit(0))
     # The cheaper tests first; a pair that fails the last one is never a row.
     alike = (F.col("key") == F.col("at")) & (F.col("at_v") < F.col("at_u")) & (apart <= 2 * k)
-    linked = u.join(v, alike & within_edits(_bytes("line_u"), _bytes("line_v"), k)).select("h").distinct()
+    linked = u.join(v, alike & within_edits(_units("line_u", settings), _units("line_v", settings), k)).select("h").distinct()
     return settled.union(linked)
 
 
@@ -218,7 +236,7 @@ def duplicate_lines(
 
     A line goes where an earlier place (by id, then line number; a null id comes first) has the same line,
     or where its text has an earlier first place of another text within the edits (``near``). Lines are parted
-    by line feeds; edits are of bytes of UTF-8. Lines below ``Settings.shortest`` bytes always stay. Null and
+    by line feeds; edits are of bytes of UTF-8, or of ``Settings.characters``. Lines below ``Settings.shortest`` bytes always stay. Null and
     empty texts have no line. Rows that repeat an id are one document: the same place twice is no duplicate.
     """
     lines = _lines(docs, doc_id, text, settings)

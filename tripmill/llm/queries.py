@@ -73,7 +73,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.duplicate_lines(read(spark, sf_dir, "documents"))
+    return line_dedup.duplicate_lines(read(spark, sf_dir, "documents"), settings=line_dedup.Settings(characters=True))
 
 
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
