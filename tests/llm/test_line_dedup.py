@@ -145,3 +145,18 @@ def test_pipeline_counts_characters(spark):
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     left = corpus_pipeline.drop_repeated_lines(spark, docs, "")
     assert {r["doc_id"]: r["text"] for r in left.collect()} == {0: lines[0], 1: "", 2: lines[2], 3: ""}
+
+
+def test_rows_of_one_id_are_told_apart_by_text(spark):
+    a, b, c = (f"{x} is a line that is long enough" for x in ("first thing", "another matter", "something else"))
+    for key in (None, 5):
+        rows = [(key, f"{a}\n{b}"), (key, f"{c}\n{a}"), (key, f"{c}\n{a}"), (9, "a line of its own, that stays")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        left = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+        texts = sorted(r["text"] for r in left.where("doc_id is null or doc_id = 5").collect())
+        # Which of the rows keeps the line that they share follows a hash; nothing else goes.
+        assert texts in (sorted([f"{a}\n{b}", c, c]), sorted([b, f"{c}\n{a}", f"{c}\n{a}"]))
+        assert left.count() == 4
+    # A repeat at the same line number of another row is one.
+    docs = spark.createDataFrame([(5, f"{a}\n{b}"), (5, f"{a}\n{c}")], "doc_id long, text string")
+    assert [tuple(r) for r in line_dedup.duplicate_lines(docs).collect()] == [(5, 0, False)]

@@ -45,14 +45,15 @@ class Settings:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
-    """Lines that are compared: place (id, number from 0), text, size in the unit of edits, and a 128-bit hash of the text."""
-    split = docs.select(docs[doc_id].alias("doc_id"), F.posexplode(F.split(text_of(text), "\n")).alias("line_no", "line"))
+    """Lines that are compared: place (id, hash of the row's text, number from 0), text, size in the unit of edits, and a 128-bit hash of the text."""
+    row = _hash(text_of(text)).alias("row")
+    split = docs.select(docs[doc_id].alias("doc_id"), row, F.posexplode(F.split(text_of(text), "\n")).alias("line_no", "line"))
     long = split.where(F.octet_length("line") >= settings.shortest)
     size = F.char_length("line") if settings.characters else F.octet_length("line")
     return long.withColumn("size", size).withColumn("h", _hash("line"))
 
 
-def _hash(line: str) -> Column:
+def _hash(line: str | Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
@@ -203,9 +204,9 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     there = bloom.build_hashed(met, settings.filter_log_words)
     # A filter that mentions the key several times would be pushed down and hash the segment as often; it
     # cannot pass the explode of one element.
-    keyed = _keyed(lines, k, "h", "doc_id", "line_no", characters=settings.characters)
-    small = keyed.select("h", "doc_id", "line_no", F.explode(F.array("key")).alias("key")).where(there.holds(F.col("key")))
-    members = small.groupBy("key", "h").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
+    keyed = _keyed(lines, k, "h", "doc_id", "row", "line_no", characters=settings.characters)
+    small = keyed.select("h", "doc_id", "row", "line_no", F.explode(F.array("key")).alias("key")).where(there.holds(F.col("key")))
+    members = small.groupBy("key", "h").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("place"))
     members = checkpointed(members)
     leaders = members.groupBy("key").agg(F.min(F.struct("place", "h")).alias("leader"), F.count("*").alias("n")).where("n > 1")
     led = checkpointed(members.join(leaders.select("key", F.col("leader.h").alias("leader")), "key"))
@@ -237,23 +238,38 @@ def duplicate_lines(
     A line goes where an earlier place (by id, then line number; a null id comes first) has the same line,
     or where its text has an earlier first place of another text within the edits (``near``). Lines are parted
     by line feeds; edits are of bytes of UTF-8, or of ``Settings.characters``. Lines below ``Settings.shortest`` bytes always stay. Null and
-    empty texts have no line. Rows that repeat an id are one document: the same place twice is no duplicate.
+    empty texts have no line. A row is known by its id and its whole text: equal rows are one document, in which
+    the same place twice is no duplicate; rows of one id with other texts are others, in the order of a hash.
     """
+    return duplicate_places(docs, doc_id, text, settings).select(doc_id, "line_no", "near").distinct()
+
+
+def duplicate_places(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """``duplicate_lines`` with ``row``, a hash that tells rows of one id, or without any, apart by their texts."""
     lines = _lines(docs, doc_id, text, settings)
     near = _near_lines(lines, settings).withColumn("near", F.lit(True))
-    places = lines.select("h", F.struct("doc_id", "line_no").alias("place"))
+    places = lines.select("h", F.struct("doc_id", "row", "line_no").alias("place"))
     firsts = places.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     bad = firsts.join(near, "h", "left").where("near or first <> last")
     # Written, so that the join deals both sides anew and Spark can split a line that very many places have.
     bad = checkpointed(bad.select("h", "first", F.coalesce("near", F.lit(False)).alias("near")))
     found = places.join(bad, "h").where("near or place <> first")
-    return found.select(F.col("place.doc_id").alias(doc_id), "place.line_no", "near").distinct()
+    return found.select(F.col("place.doc_id").alias(doc_id), "place.row", "place.line_no", "near").distinct()
 
 
 def without_lines(docs: DataFrame, lines: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows and columns of ``docs`` without the given lines. Texts that lose none stay as they are."""
-    listed = lines.groupBy(F.col(doc_id).alias("_line_id")).agg(F.collect_set("line_no").alias("_lines"))
-    joined = docs.join(listed, docs[doc_id].eqNullSafe(listed["_line_id"]), "left")
+    """The rows and columns of ``docs`` without the given lines. Texts that lose none stay as they are.
+
+    Lines of ``duplicate_places`` go from their own rows; those of ``duplicate_lines`` from all rows of the id.
+    """
+    names = {doc_id: "_line_id"} | ({"row": "_line_row"} if "row" in lines.columns else {})
+    listed = lines.groupBy(*[F.col(a).alias(b) for a, b in names.items()]).agg(F.collect_set("line_no").alias("_lines"))
+    same = docs[doc_id].eqNullSafe(listed["_line_id"])
+    if "row" in lines.columns:
+        same &= _hash(F.coalesce(docs[text].cast("string"), F.lit(""))) == listed["_line_row"]
+    joined = docs.join(listed, same, "left")
     split = F.split(docs[text], "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), listed["_lines"])
     kept = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
