@@ -53,6 +53,35 @@ WHERE n.line IS NOT NULL OR (l.doc_id, l.line_no) <> (f.place.d, f.place.n)
 """
 
 
+INFILLING = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT doc_id, body, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM units
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT doc_id, n, form, body, coalesce(array_to_string(u[1:lo], ''), '') AS prefix,
+         coalesce(array_to_string(u[lo + 1:hi], ''), '') AS middle, coalesce(array_to_string(u[hi + 1:], ''), '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM parts
+"""
+
+
 def sql() -> dict[str, str]:
-    twins = {"op7_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER, "pipeline": corpus_pipeline.ORACLE_SQL}
+    twins = {"op7_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER, "op11_infilling": INFILLING, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {name: twin for name, twin in twins.items() if twin}

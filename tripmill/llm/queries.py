@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash
+from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, infilling, licenses, line_dedup, quality, simhash
 from tripmill.llm import toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
@@ -89,6 +89,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infilling.rewrite(read(spark, sf_dir, "documents"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        sha(F.col("output")).alias("output_sha256"),
+        sha(infilling.restore()).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -101,5 +115,6 @@ def queries() -> dict[str, Query]:
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_url_filter": op10_url_filter,
+        "op11_infilling": op11_infilling,
         "pipeline": corpus_pipeline.run,
     }
