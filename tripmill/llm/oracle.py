@@ -82,6 +82,65 @@ FROM parts
 """
 
 
+# Kind, pattern, group with the value, its least size, part, and whether the kind is weak.
+SECRET_KINDS = (
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, "secret", False),
+    ("access", "(AKIA[A-Z0-9]+)", 16, "name", False),
+    ("hex", "([0-9a-f]+)", 32, "secret", False),
+    ("user", r"""\b(?i:user(?:_?name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]+)""", 3, "name", True),
+    ("value", r"""\b(?i:pass|pwd|passphrase|credentials?|auth|private_?key|key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, "secret", True),
+    ("base64", "([A-Za-z0-9+/]+)", 40, "secret", True),
+    ("url", r"\b([a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+)", 8, "address", True),
+    ("host", r"""\b(?i:host(?:_?name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._:-]+)""", 4, "address", True),
+)
+
+
+def _secrets() -> str:
+    """All spans by splitting, links by all pairs of a document."""
+    kinds = []
+    for rank, (kind, pattern, least, part, weak) in enumerate(SECRET_KINDS):
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        kinds.append(f"""
+  SELECT r, doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, '{part}' AS part, {weak} AS weak,
+         string_split_regex(body, {quoted}) AS gaps, regexp_extract_all(body, {quoted}) AS hits,
+         regexp_extract_all(body, {quoted}, 1) AS vals
+  FROM docs WHERE regexp_matches(body, {quoted})""")
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+searched AS ({" UNION ALL ".join(kinds)}),
+parts AS (
+  SELECT r, rank, kind, least, part, weak, unnest(range(1, len(hits) + 1)) AS i, unnest(gaps[1:len(hits)]) AS gap,
+         unnest(hits) AS hit, unnest(vals) AS val
+  FROM searched
+), placed AS (
+  SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY r, rank ORDER BY i) AS BIGINT) AS stop FROM parts
+), spans AS (
+  SELECT r, rank, kind, part, weak, stop - length(hit) AS start, stop FROM placed WHERE length(val) >= least
+), kept AS (
+  SELECT * FROM spans s
+  WHERE NOT weak OR (
+    NOT EXISTS (SELECT 1 FROM spans t WHERE t.r = s.r AND NOT t.weak AND t.start < s.stop AND s.start < t.stop)
+    AND EXISTS (SELECT 1 FROM spans t WHERE t.r = s.r AND abs(t.start - s.start) < 400
+                AND CASE s.part WHEN 'secret' THEN t.part IN ('name', 'address') ELSE t.part = 'secret' END))
+), told AS (
+  SELECT r, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (NOT weak) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM kept GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (r)
+"""
+
+
 def sql() -> dict[str, str]:
-    twins = {"op7_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": URL_FILTER, "op11_infilling": INFILLING, "pipeline": corpus_pipeline.ORACLE_SQL}
+    twins = {
+        "op7_line_dedup": LINE_DEDUP,
+        "op9_exact_dedup": EXACT_DEDUP,
+        "op10_url_filter": URL_FILTER,
+        "op11_infilling": INFILLING,
+        "op13_secrets": _secrets(),
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
     return {name: twin for name, twin in twins.items() if twin}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, infilling, licenses, line_dedup, quality, simhash
-from tripmill.llm import toxicity, url_filter
+from tripmill.llm import secrets, toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
 # The rules that pages are judged by.
@@ -103,6 +103,21 @@ def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -116,5 +131,6 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_url_filter": op10_url_filter,
         "op11_infilling": op11_infilling,
+        "op13_secrets": op13_secrets,
         "pipeline": corpus_pipeline.run,
     }
