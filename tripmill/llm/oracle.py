@@ -82,6 +82,42 @@ FROM parts
 """
 
 
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), windows AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, range(1, 5) sizes(k) WHERE len(w) >= k
+), counts AS (
+  SELECT lang, w[i:i + k - 1] AS p, k, count(*) AS f FROM windows GROUP BY ALL
+), frequent AS (SELECT * FROM counts WHERE f >= 30
+), totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.p, c.k, c.f AS a, j, l.f AS l, r.f AS r, CAST(2000000 AS HUGEINT) * c.f // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM frequent WHERE k > 1) c
+  JOIN frequent l ON l.lang = c.lang AND l.p = c.p[1:j]
+  JOIN frequent r ON r.lang = c.lang AND r.p = c.p[j + 1:]
+), worst AS (
+  SELECT lang, p, k, a, arg_min(struct_pack(l := l, r := r), score * 10 + j) AS cut, min(score) AS score
+  FROM cuts GROUP BY lang, p, k, a
+), inner_parts AS (
+  SELECT lang, k, f, p[s:s + size - 1] AS part
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS s FROM frequent, range(2, 4) sizes(size) WHERE size < k)
+), longer AS (SELECT lang, part, max(f) AS most FROM inner_parts GROUP BY lang, part
+), ranked AS (
+  SELECT w.lang, array_to_string(w.p, ' ') AS phrase, a, cut.l AS l, cut.r AS r, score,
+         row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(w.p, ' ')) AS rank
+  FROM worst w LEFT JOIN longer o ON o.lang = w.lang AND o.part = w.p
+  WHERE o.most IS NULL OR CAST(100 AS HUGEINT) * o.most < CAST(80 AS HUGEINT) * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 # Kind, pattern, group with the value, its least size, part, and whether the kind is weak.
 SECRET_KINDS = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, "secret", False),
@@ -140,6 +176,7 @@ def sql() -> dict[str, str]:
         "op9_exact_dedup": EXACT_DEDUP,
         "op10_url_filter": URL_FILTER,
         "op11_infilling": INFILLING,
+        "op12_collocations": COLLOCATIONS,
         "op13_secrets": _secrets(),
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }

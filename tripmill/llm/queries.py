@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmill.llm import bpe, chunk_dedup, decontaminate, exact_dedup, infilling, licenses, line_dedup, quality, simhash
-from tripmill.llm import secrets, toxicity, url_filter
+from tripmill.llm import bpe, chunk_dedup, collocations, decontaminate, exact_dedup, infilling, licenses, line_dedup
+from tripmill.llm import quality, secrets, simhash, toxicity, url_filter
 from tripmill.llm.common import checkpointed, read
 
 # The rules that pages are judged by.
@@ -103,6 +103,10 @@ def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -131,6 +135,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_url_filter": op10_url_filter,
         "op11_infilling": op11_infilling,
+        "op12_collocations": op12_collocations,
         "op13_secrets": op13_secrets,
         "pipeline": corpus_pipeline.run,
     }
