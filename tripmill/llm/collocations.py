@@ -29,7 +29,6 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +36,9 @@ from tripmill.llm.common import checkpointed, text_of, utf8
 
 # What parts words and what parts pieces.
 _BLANK, _STOP = b" \t", b".,;:!?\n\x0b\x0c\r"
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(_BLANK)] = 1
-_KIND[list(_STOP)] = 2
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+# Tables for bytes.translate: A-Z to lower case; 0 for a byte of a word, 1 for a blank, 2 for what ends a piece.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_KIND = bytes(1 if b in _BLANK else 2 if b in _STOP else 0 for b in range(256))
 
 
 @dataclass(frozen=True)
@@ -55,7 +52,7 @@ class Settings:
     scale: int = 2_000_000
     # Thresholds are kept in steps of so much score; they are rounded down, which only grows a little more.
     step: int = 100
-    block_bytes: int = 8 << 20
+    block_bytes: int = 2 << 20
     # A filter has 16 bits a key, but at most 2 ** so many.
     filter_log_bits: int = 26
     # Parts of a language that are ranked side by side before the last ranking.
@@ -96,7 +93,19 @@ class _Words:
         first = at[first]
         parts = [self.dictionary.take(pa.array(self.ids[first + j])) for j in range(size)]
         phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-        return self.lang_names.take(pa.array(self.langs[first])), phrase.cast(pa.large_string()).cast(pa.string()), counts
+        return self.lang_names.take(pa.array(self.langs[first])), _text(phrase), counts
+
+    def counted_words(self) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """``counted`` for single words, without a sort."""
+        words = len(self.dictionary)
+        counts = np.bincount(self.langs.astype(np.int64) * words + self.ids)
+        code = np.flatnonzero(counts)
+        lang, word = np.divmod(code, words)
+        return self.lang_names.take(pa.array(lang)), _text(self.dictionary.take(pa.array(word))), counts[code]
+
+
+def _text(values: pa.Array) -> pa.Array:
+    return values.cast(pa.large_string()).cast(pa.string())
 
 
 def key_of(lang: np.ndarray, *words: np.ndarray) -> np.ndarray:
@@ -109,8 +118,41 @@ def key_of(lang: np.ndarray, *words: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(32))
 
 
+# An odd base of polynomials, and its inverse.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+# Values are hashed in runs of about so many bytes, which bounds the tables of powers.
+_HASHED = 1 << 20
+_powers: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: int, size: int) -> np.ndarray:
+    if len(_powers.get(base, ())) < size:
+        values = np.full(max(size, 1 << 16), base, np.uint64)
+        values[0] = 1
+        _powers[base] = np.cumprod(values)
+    return _powers[base]
+
+
 def _hashes(values: pa.Array, seed: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in values.to_pylist()), np.uint64, len(values))
+    """A hash of each value's bytes: the value of a polynomial at its place, moved back to the start."""
+    data, offsets = utf8(values) if not pa.types.is_large_binary(values.type) else utf8(values.view(pa.large_string()))
+    found = np.zeros(len(values), np.uint64)
+    begin = 0
+    while begin < len(values):
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + _HASHED, "right")) - 1)
+        part, at = data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin]
+        sums = np.r_[np.uint64(0), np.cumsum((part + np.uint64(1 + seed)) * _powers_of(_BASE, len(part))[: len(part)])]
+        back = _powers_of(_INVERSE, len(part) + 1)[at[:-1]]
+        found[begin:end] = (sums[at[1:]] - sums[at[:-1]]) * back
+        begin = end
+    found ^= found >> np.uint64(31)
+    found *= np.uint64(0xD6E8FEB86659FD93)
+    return found ^ (found >> np.uint64(32))
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(_KIND), np.uint8)
 
 
 def _blocks(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
@@ -121,7 +163,7 @@ def _blocks(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[
         if end < len(data):
             text_end = int(offsets[np.searchsorted(offsets, end)])
             while end < text_end:
-                stop = np.flatnonzero(_KIND[data[end : min(end + 4096, text_end)]] == 2)
+                stop = np.flatnonzero(_kinds(data[end : min(end + 4096, text_end)]) == 2)
                 if len(stop):
                     end += int(stop[0])
                     break
@@ -136,8 +178,8 @@ def _words(batch: pa.RecordBatch, size: int) -> Iterator[_Words]:
     row_langs, lang_names = coded.indices.to_numpy(), coded.dictionary
     lang_hashes = _hashes(lang_names, 1)
     for begin, end in _blocks(data, offsets, size):
-        block = _LOWER[data[begin:end]]
-        kind = _KIND[block]
+        block = np.frombuffer(data[begin:end].tobytes().translate(_LOWER), np.uint8)
+        kind = _kinds(block)
         word = kind == 0
         # A text that begins here ends the word before it.
         inner = offsets[(offsets > begin) & (offsets < end)] - begin
@@ -146,8 +188,10 @@ def _words(batch: pa.RecordBatch, size: int) -> Iterator[_Words]:
         starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
         if not len(starts):
             continue
-        rows = np.searchsorted(offsets, starts + begin, "right") - 1
-        pieces = np.cumsum(kind == 2, dtype=np.int64)[starts] + rows
+        first_row = int(np.searchsorted(offsets, begin, "right")) - 1
+        changes = np.searchsorted(starts, np.r_[inner, len(block)])
+        rows = np.repeat(np.arange(first_row, first_row + len(changes)), np.diff(changes, prepend=0))
+        pieces = np.cumsum(kind == 2, dtype=np.int32)[starts] + rows
         bounds = np.r_[0, np.cumsum(ends - starts)].astype(np.int64)
         buffers = [None, pa.py_buffer(bounds), pa.py_buffer(block[word])]
         encoded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
@@ -208,7 +252,7 @@ def _keyed(phrases: DataFrame) -> DataFrame:
             sizes = np.array([len(p) for p in split])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                words = [_hashes(pa.array([split[i][j] for i in at], pa.binary()), 0) for j in range(size)]
+                words = [_hashes(pa.array([split[i][j] for i in at], pa.large_binary()), 0) for j in range(size)]
                 keys[at] = key_of(lang[at], *words)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
 
@@ -235,7 +279,7 @@ def _single_words(texts: DataFrame, settings: Settings) -> DataFrame:
     """Frequent words (lang, phrase, f), and under the empty word the number of all words of a language."""
 
     def per_block(words: _Words) -> list:
-        lang, phrase, counts = words.counted(np.arange(len(words.ids)), 1)
+        lang, phrase, counts = words.counted_words()
         total = np.bincount(words.langs, minlength=len(words.lang_names)).astype(np.int64)
         there = np.flatnonzero(total)
         lang = pa.concat_arrays([lang, words.lang_names.take(pa.array(there))])
