@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 from operator import add
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions.columns import round_even
+from tripmill.operators.kmeans import Fit, fit
 from tripmill.session import Stage
 
 FEATURES = ("trip_duration_min", "fare_amount", "trip_distance")
@@ -23,18 +19,9 @@ TIP_FEATURES = ("fare_amount", "tip_amount")
 SHORT_TRIPS = "Economy / Short Trips"
 LONG_TRIPS = "Premium / Long Trips"
 
-PARALLEL_FITS = 8
-
 Centroids = Sequence[Sequence[float]]
 
 
-@dataclass(frozen=True)
-class Fit:
-    centroids: list[list[float]]
-    cost: float
-    costs: list[float]
-
-
 def fill_features(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     return df.na.fill(0, list(features))
 
@@ -68,48 +55,17 @@ def weighted_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def weighted_statistics(points: DataFrame, features: Sequence[str]) -> tuple[dict[str, Column], dict[str, Column]]:
-    """Means and deviations of the rows behind weighted points, as literals. Two passes keep them exact."""
+    """Means and deviations of the rows behind weighted points, as literals to nine decimals.
+
+    Two passes keep them exact; rounding frees them from the order of the sums.
+    """
+    nine = lambda x: round(x * 1e9) / 1e9
     total = F.sum("weight")
     first = points.agg(*[(F.sum(F.col(c) * F.col("weight")) / total).alias(c) for c in features]).first()
-    means = {c: F.lit(first[c]) for c in features}
+    means = {c: F.lit(nine(first[c])) for c in features}
     spread = {c: (F.col(c) - means[c]) * (F.col(c) - means[c]) * F.col("weight") for c in features}
     second = points.agg(*[_one_if_zero(F.sqrt(F.sum(spread[c]) / total)).alias(c) for c in features]).first()
-    return means, {c: F.lit(second[c]) for c in features}
-
-
-def fit(
-    points: DataFrame,
-    features: Sequence[str],
-    k: int,
-    seed: int = 42,
-    restarts: int = 10,
-    max_iterations: int = 300,
-    tolerance: float = 1e-4,
-) -> Fit:
-    """Best of several k-means runs on weighted points. Only centroids and costs reach the driver.
-
-    Pass stored points: a lost executor re-reads them instead of repeating the joins behind them. They are
-    cached once for all runs; the block solver works on that one copy. Without points there are no
-    centroids.
-    """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    data = assembler.transform(points).select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(number: int) -> tuple[list[list[float]], float]:
-        means = KMeans(k=k, seed=seed + number, maxIter=max_iterations, tol=tolerance, weightCol="weight", solver="block")
-        model = means.fit(data)
-        return [[float(x) for x in c] for c in model.clusterCenters()], model.summary.trainingCost
-
-    # The restarts are independent chains of small jobs; side by side they fill the cluster.
-    try:
-        if data.count() == 0:
-            return Fit([], 0.0, [])
-        with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
-            fits = pool.map(inheritable_thread_target(points.sparkSession)(run), range(restarts))
-    finally:
-        data.unpersist()
-    centroids, cost = min(fits, key=lambda f: f[1])
-    return Fit(centroids, cost, [f[1] for f in fits])
+    return means, {c: F.lit(nine(second[c]) or 1.0) for c in features}
 
 
 def squared_distance(centroid: Sequence[float], features: Sequence[str]) -> Column:
@@ -189,7 +145,6 @@ def tip_segments(
     """
     points = stage.save(points, "points")
     best = fit(points, TIP_FEATURES, k, seed=seed, restarts=restarts)
-    best = Fit(sorted(best.centroids), best.cost, best.costs)
     counts = assign(points, best.centroids, TIP_FEATURES, "cluster").groupBy("cluster").agg(
         F.sum("weight").cast("bigint").alias("trips")
     )

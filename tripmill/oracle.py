@@ -499,6 +499,17 @@ def sql() -> dict[str, str]:
         "g06_reproject": s(projected_sql()),
         "g07_location_count": s("SELECT count(DISTINCT location_text) AS locations FROM features"),
     }
+    def recursive(table: str, tail: str) -> str:
+        """A statement over a table above whose text begins with CTEs of its own, one of them recursive."""
+        body = f"SELECT * FROM {table}"
+        return s(body).removesuffix("\n" + body).replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + tail
+
+    tips = bodies["cluster_data"]
+    result["m03_trip_segments"] = recursive("clustering", trip_segments_sql(bodies["clustering"]))
+    result["m09_tip_clusters"] = recursive("correlation", tip_clusters_sql(tips, "SELECT tip_amount, fare_amount, trip_distance, cluster FROM tip_assigned"))
+    result["m10_tip_centroids"] = recursive("correlation", tip_clusters_sql(tips, """SELECT CAST(i AS INTEGER) AS cluster,
+        c[2 * i + 1] / 4294967296e0 AS fare_amount, c[2 * i + 2] / 4294967296e0 AS tip_amount, coalesce(n, 0) AS trips
+        FROM tip, range(3) t(i) LEFT JOIN (SELECT cluster, count(*) AS n FROM tip_assigned GROUP BY 1) g ON g.cluster = i"""))
     trained = {
         "m03_checks": ("clustering", "2 AS clusters, 2 AS names, true AS short_is_shorter, true AS nearest, true AS best"),
         "m09_checks": ("cluster_data", "3 AS clusters, true AS nearest"),
@@ -513,6 +524,85 @@ def sql() -> dict[str, str]:
     return result
 
 
+def kmeans_sql(name: str, points: str, k: int, dims: int, seed: int = 42, restarts: int = 10, rounds: int = 300) -> str:
+    """CTEs that end in ``name``: one row with the list ``c`` of the k centroids, in whole units of 2 ** -32.
+
+    ``points`` gives x0, x1, ... in these units and their weight w. All restarts run in one recursion.
+    """
+    unit, xs = 4294967296, [f"x{j}" for j in range(dims)]
+
+    def squared(i: int) -> str:
+        ds = [f"(CAST({x} AS DOUBLE) - CAST(c[{i * dims + j + 1}] AS DOUBLE))" for j, x in enumerate(xs)]
+        return "(" + " + ".join(f"{d} * {d}" for d in ds) + ")"
+
+    def draw(i: int, far: str) -> str:
+        text = " || ':' || ".join(["r", f"{i}", *xs])
+        u = f"((CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) + 1) / {unit}e0)"
+        return f"arg_min([{', '.join(xs)}], -ln({u}) / (CAST(w AS DOUBLE) * {far})) FILTER ({far} > 0)"
+
+    parts = [f"{name}_points AS MATERIALIZED ({points})"]
+    parts.append(f"{name}_s0 AS (SELECT r, {draw(0, '1e0')} AS c FROM {name}_points, range({seed}, {seed + restarts}) t(r) GROUP BY r)")
+    for i in range(1, k):
+        far = f"least({', '.join(squared(j) for j in range(i))})" if i > 1 else squared(0)
+        parts.append(f"{name}_s{i} AS (SELECT r, c || {draw(i, far)} AS c FROM {name}_s{i - 1}, {name}_points GROUP BY r, c)")
+    near = "CASE " + " ".join(
+        f"WHEN {' AND '.join(f'{squared(i)} <= {squared(j)}' for j in range(i + 1, k))} THEN {i}" for i in range(k - 1)
+    ) + f" ELSE {k - 1} END"
+    new = ", ".join(
+        f"CAST(coalesce(sum(CAST({x} AS HUGEINT) * w) FILTER (near = {i}) // sum(CAST(w AS HUGEINT)) FILTER (near = {i}), c[{i * dims + j + 1}]) AS BIGINT)"
+        for i in range(k)
+        for j, x in enumerate(xs)
+    )
+    moved = f"greatest({', '.join(f'abs(new[{i + 1}] - c[{i + 1}])' for i in range(k * dims))})"
+    parts.append(f"""{name}_rounds AS (
+      SELECT r, 0 AS n, c, true AS moving FROM {name}_s{k - 1}
+      UNION ALL
+      SELECT r, n + 1 AS n, new AS c, {moved} > 1e-4 * {unit}e0 AS moving
+      FROM (SELECT r, n, c, [{new}] AS new FROM (
+        SELECT r, n, c, {", ".join(xs)}, w, {near} AS near FROM {name}_rounds, {name}_points WHERE moving AND n < {rounds}
+      ) GROUP BY r, n, c))""")
+    parts.append(f"{name}_ends AS (SELECT r, arg_max(c, n) AS c FROM {name}_rounds GROUP BY r)")
+    cost = f"sum(CAST(least({', '.join(squared(i) for i in range(k))}) * w AS HUGEINT))"
+    parts.append(f"{name}_costs AS (SELECT r, c, {cost} AS cost FROM {name}_ends, {name}_points GROUP BY r, c)")
+    ordered = ", ".join(f"c[{i * dims + 1}:{(i + 1) * dims}]" for i in range(k))
+    parts.append(f"{name} AS (SELECT flatten(list_sort([{ordered}])) AS c FROM {name}_costs ORDER BY cost, r LIMIT 1)")
+    return ", ".join(parts)
+
+
+def _nearest_sql(features: list[str], k: int) -> str:
+    """Number of the nearest centroid of a list ``c`` in units, the lower one in a tie."""
+    dims = len(features)
+    d = ["(" + " + ".join(f"({f} - c[{i * dims + j + 1}] / 4294967296e0) * ({f} - c[{i * dims + j + 1}] / 4294967296e0)" for j, f in enumerate(features)) + ")" for i in range(k)]
+    return "CASE " + " ".join(f"WHEN {' AND '.join(f'{d[i]} <= {d[j]}' for j in range(i + 1, k))} THEN {i}" for i in range(k - 1)) + f" ELSE {k - 1} END"
+
+
+def trip_segments_sql(clustering: str) -> str:
+    features = ("trip_duration_min", "fare_amount", "trip_distance")
+    means = ", ".join(f"round_even(avg({c}) * 1e9, 0) / 1e9 AS m{j}" for j, c in enumerate(features))
+    spread = ", ".join(f"round_even(sqrt(avg(({c} - m{j}) * ({c} - m{j}))) * 1e9, 0) / 1e9 AS d{j}" for j, c in enumerate(features))
+    scaled = ", ".join(f"({c} - m{j}) / d{j} AS s{j}" for j, c in enumerate(features))
+    units = ", ".join(f"CAST(floor(s{j} * 4294967296e0 + 0.5e0) AS BIGINT) AS x{j}" for j in range(3))
+    averages = ", ".join(f"{even(f'avg({c})')} AS {c}" for c in ("trip_distance", "trip_duration_min", "fare_amount"))
+    return f"""seg_rows AS MATERIALIZED ({clustering}), seg_means AS (SELECT {means} FROM seg_rows),
+      seg_spread AS (SELECT any_value(m0) AS m0, any_value(m1) AS m1, any_value(m2) AS m2, {spread} FROM seg_rows, seg_means),
+      seg_scaled AS MATERIALIZED (SELECT {", ".join(features)}, {scaled} FROM seg_rows, seg_spread),
+      {kmeans_sql("seg", f"SELECT {units}, count(*) AS w FROM seg_scaled GROUP BY {', '.join(features)}, s0, s1, s2", 2, 3)},
+      seg_assigned AS (SELECT {", ".join(features)}, {_nearest_sql(["s0", "s1", "s2"], 2)} AS k FROM seg_scaled, seg),
+      seg_names AS (
+        SELECT k, CASE WHEN row_number() OVER (ORDER BY (avg(trip_duration_min) + avg(fare_amount) + avg(trip_distance)) / 3, k) = 1
+                       THEN 'Economy / Short Trips' ELSE 'Premium / Long Trips' END AS trip_type
+        FROM seg_assigned GROUP BY k)
+      SELECT trip_type, {averages}, count(*) AS count FROM seg_assigned JOIN seg_names USING (k) GROUP BY trip_type"""
+
+
+def tip_clusters_sql(cluster_data: str, last: str) -> str:
+    units = ", ".join(f"CAST(floor({c} * 4294967296e0 + 0.5e0) AS BIGINT) AS x{j}" for j, c in enumerate(("fare_amount", "tip_amount")))
+    points = f"SELECT {units}, count(*) AS w FROM tip_rows GROUP BY fare_amount, tip_amount"
+    return f"""tip_rows AS MATERIALIZED ({cluster_data}), {kmeans_sql("tip", points, 3, 2)},
+      tip_assigned AS (SELECT t.*, CAST({_nearest_sql(["fare_amount", "tip_amount"], 3)} AS INTEGER) AS cluster FROM tip_rows t, tip)
+      {last}"""
+
+
 MART_NAMES = (
     "monthly",
     "weekday",
