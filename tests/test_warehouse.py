@@ -139,3 +139,27 @@ def test_run_from_files(spark, trips, tmp_path):
     assert star.dim_weather.count() > 0
     rollup = Marts(star, fixtures.MARTS, Stage(spark)).all()
     assert len(rollup) == 15 and rollup["monthly"].count() == 3
+
+
+def test_marts_share_one_scan_of_the_facts(spark, trips, monkeypatch):
+    """With a stage, time, place, payment and weather marts read one rollup, and give the rows that each gives alone."""
+    name = f"test_{uuid.uuid4().hex[:8]}"
+    warehouse = Warehouse(spark, name, f"{shared_folder(spark)}/{name}")
+    load.load_trips(trips, warehouse, fixtures.CLEANING, fixtures.QUALITY, Stage(spark))
+    star = load.load_weather(fixtures.weather(trips), warehouse)
+    alone, together = Marts(star, fixtures.MARTS), Marts(star, fixtures.MARTS, Stage(spark))
+    own = {"fare_weekday", "correlation", "clustering", "cluster_data"}
+    marts = together.all()
+    assert {m for m, df in marts.items() if any("/fact_trips/" in f for f in df.inputFiles())} == own
+    for mart in set(marts) - own:
+        assert sorted(map(str, marts[mart].collect())) == sorted(map(str, getattr(alone, mart)().collect())), mart
+    written = []
+    inner = Stage.save
+
+    def watched(self, df, name):
+        written.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("Expand")))
+        return inner(self, df, name)
+
+    monkeypatch.setattr(Stage, "save", watched)
+    Marts(star, fixtures.MARTS, Stage(spark)).all()
+    assert written == [("rollup", 1)]

@@ -27,6 +27,7 @@ PAYMENT_NAMES = {
     5: "Unknown",
     6: "Voided Trip",
 }
+# The variables that are correlated.
 CORRELATED = (
     "trip_duration_min",
     "trip_distance",
@@ -38,10 +39,13 @@ CORRELATED = (
     "precip",
     "hour",
 )
+# Fact columns that marts count by.
+COUNTED = ("PULocationID", "DOLocationID", "payment_type")
 
 
 class Marts:
-    """Lazy marts. With a stage, the hour rollup is written once and shared by the seven marts that need it."""
+    """Lazy marts. With a stage, one pass over the facts counts trips by hour, places and payment at once; the
+    eleven marts that need no more than that share what it wrote."""
 
     def __init__(self, star: Star, config: MartConfig = MartConfig(), stage: Stage | None = None):
         self.star = star
@@ -73,14 +77,35 @@ class Marts:
     def _wanted(self) -> Column:
         return F.col("year") >= self.config.year
 
+    @staticmethod
+    def _measures() -> list[Column]:
+        duration = F.col("trip_duration_min")
+        return [F.count("*").alias("trips"), F.sum(duration).alias("minutes"), F.count(duration).alias("timed")]
+
+    @cached_property
+    def shared_rollup(self) -> DataFrame:
+        """Trips of the wanted years by hour, by each place and by payment: a grouping set each, in one scan.
+
+        Rows are as many as hours, places and payment types together; ``grouped`` names the column they are by.
+        """
+        by = ["datetime_id", *[c for c in COUNTED if c in self.facts.columns]]
+        wanted = self._in_years(self.facts.select(*by, "trip_duration_min"))
+        # In grouping_id the first column is the highest bit, and a bit is 0 where rows are by that column.
+        grouped = F.element_at(F.array(*[F.lit(c) for c in by]), F.array_position(
+            F.array(*[F.shiftright("_set", len(by) - 1 - i).bitwiseAND(1) for i in range(len(by))]), F.lit(0)
+        ).cast("int"))
+        sets = wanted.groupingSets([[c] for c in by], *by).agg(F.grouping_id().cast("bigint").alias("_set"), *self._measures())
+        return self.stage.save(sets.withColumn("grouped", grouped).drop("_set"), "rollup")
+
     @cached_property
     def hour_rollup(self) -> DataFrame:
         """Trips and duration sums per hour: as many rows as there are hours."""
-        duration = F.col("trip_duration_min")
-        rollup = self.facts.groupBy("datetime_id").agg(
-            F.count("*").alias("trips"), F.sum(duration).alias("minutes"), F.count(duration).alias("timed")
-        )
-        return self.stage.save(rollup, "hour_rollup") if self.stage else rollup
+        if self.stage:
+            return self._by("datetime_id").select("datetime_id", "trips", "minutes", "timed")
+        return self.facts.groupBy("datetime_id").agg(*self._measures())
+
+    def _by(self, column: str) -> DataFrame:
+        return self.shared_rollup.filter(F.col("grouped") == column)
 
     def _hours(self, *attributes: str) -> DataFrame:
         needed = dict.fromkeys(("year", *attributes))
@@ -150,6 +175,8 @@ class Marts:
     # -- places and payment ----------------------------------------------------------------------
 
     def _count_by(self, column: str) -> DataFrame:
+        if self.stage:
+            return self._by(column).select(column, F.col("trips").alias("trip_count"))
         facts = self._in_years(self.facts.select("datetime_id", column))
         return facts.groupBy(column).agg(F.count("*").alias("trip_count"))
 
