@@ -95,15 +95,30 @@ def test_sample_is_exact_and_stable(spark, trips, partitions):
     assert sample.columns == df.columns
 
 
-def test_sample_with_few_bins(spark, trips, monkeypatch):
+def test_sample_that_comes_out_short_is_read_again(spark, trips, monkeypatch):
     df = trips.withColumn("kind", F.lit("all"))
-    for bins, levels in ((2, 1), (2, 3), (1 << 12, 2)):
-        monkeypatch.setattr(sampling, "_BINS", bins)
-        monkeypatch.setattr(sampling, "_LEVELS", levels)
+    monkeypatch.setattr(sampling, "SPARE", 0)
+    for slack in (0.0, -10.0, -30.0):
+        monkeypatch.setattr(sampling, "SLACK", slack)
         got = {r["id"] for r in sampling.stratified_sample(df, "kind", ["id"], Stage(spark), total=500).collect()}
         assert got == expected_sample(df, ["id"], {"all": 500}, "kind")
 
 
+def test_sample_looks_at_few_rows_more_than_it_takes(spark, monkeypatch):
+    saved = {}
+    inner = Stage.save
+
+    def watched(self, df, name):
+        out = inner(self, df, name)
+        saved[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Stage, "save", watched)
+    df = spark.range(40_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS kind")
+    assert sampling.stratified_sample(df, "kind", ["id"], Stage(spark), total=2000).count() == 1999
+    assert 1999 <= saved["candidates"] < 2600
+
+
 def test_sample_of_everything_and_of_nothing(spark, trips):
     df = trips.withColumn("kind", F.lit("all"))
     assert sampling.stratified_sample(df, "kind", ["id"], Stage(spark)).count() == df.count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +14,9 @@ from tripmill.session import Stage
 SAMPLE_ROWS = 50_000
 STRATUM_FLOOR = 100
 
-# Bins that are counted at a time, a power of two so that their bounds are exact, and how often: after two
-# rounds a stratum of 10**10 rows has a few hundred rows in its last bin.
-_BINS = 1 << 12
-_LEVELS = 2
+# Rows that are looked at beyond those wanted: so many times the root of their number, and some.
+SLACK = 6.0
+SPARE = 20
 
 
 def stratum_targets(sizes: Mapping, total: int = SAMPLE_ROWS, floor: int = STRATUM_FLOOR) -> dict:
@@ -26,9 +26,10 @@ def stratum_targets(sizes: Mapping, total: int = SAMPLE_ROWS, floor: int = STRAT
 
 
 def hash_unit(key: Sequence[str], seed: int) -> Column:
-    """A number in [0, 1) that depends on the row key and the seed only."""
-    bits = F.shiftrightunsigned(F.xxhash64(*key, F.lit(seed)), 11)
-    return bits.cast("double") * F.lit(2.0**-53)
+    """A number in [0, 1) that depends on the row key and the seed only: 52 bits of an MD5, which SQL engines share."""
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key], F.lit(str(seed)))
+    digits = F.substring(F.md5(text.cast("binary")), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint").cast("double") * F.lit(2.0**-52)
 
 
 def stratified_sample(
@@ -42,51 +43,33 @@ def stratified_sample(
 ) -> DataFrame:
     """The rows with the smallest hashes of each stratum, exactly as many as ``stratum_targets`` says.
 
-    ``key`` should identify a row, and strata must be few, as their sizes come to the driver. The hash below
-    which a stratum's rows are taken is found by counting: bins of the hash first, then bins inside the one
-    in which the wanted number is reached. All rows below that narrow bin are taken as they are; only the
-    rows inside it are put in order. Rows that share a key share a hash; which of them are taken when not
-    all are wanted depends on their layout. The input is read a handful of times: pass stored rows.
+    ``key`` should identify a row, and strata must be few, as their sizes come to the driver. The input is read
+    twice: for the sizes, and for the candidates of each stratum, whose hash is below a bound that a few more
+    rows than are wanted should pass. Tasks keep their own candidates, which merge by union and stay about as
+    many as are wanted; only they are put in order. A stratum that comes out short, which chance alone all but
+    rules out, is read again with twice its bound. Rows that share a key share a hash; which of them are taken
+    when not all are wanted depends on their layout.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
     targets = stratum_targets(sizes, total, floor)
     if not targets:
         return df
     hashed = df.withColumn("_unit", hash_unit(key, seed))
-    bins = {s: (0.0, 1.0, n) for s, n in targets.items()}
-    for _ in range(_LEVELS):
-        bins = _narrowed(hashed, stratum, bins)
-    low, high = ({s: b[i] for s, b in bins.items()} for i in (0, 1))
-    taken = hashed.filter(F.col("_unit") < _by_stratum(stratum, low))
-    edge = hashed.filter((F.col("_unit") >= _by_stratum(stratum, low)) & (F.col("_unit") < _by_stratum(stratum, high)))
-    edge = stage.save(edge.withColumn("_row", F.monotonically_increasing_id()), "edge")
-    numbered = dense_key(edge, [stratum, "_unit", *[c for c in key if c != stratum], "_row"], "_at", stage)
-    numbered = stage.save(numbered, "numbered")
+    bounds = {s: min(1.0, (n + SLACK * math.sqrt(n) + SPARE) / sizes[s]) for s, n in targets.items()}
+    while True:
+        candidates = hashed.filter(F.col("_unit") < _by_stratum(stratum, bounds))
+        candidates = stage.save(candidates.withColumn("_row", F.monotonically_increasing_id()), "candidates")
+        found = {r[0]: r[1] for r in candidates.groupBy(stratum).count().collect()}
+        short = [s for s, n in targets.items() if found.get(s, 0) < n]
+        if not short:
+            break
+        bounds |= {s: max(2 * bounds[s], 1 / sizes[s]) for s in short}
+    order = [stratum, "_unit", *[c for c in key if c != stratum], "_row"]
+    numbered = stage.save(dense_key(candidates, order, "_at", stage), "numbered")
     # Few strata, so this is a small table: where each begins in the numbering.
     begins = numbered.groupBy(F.col(stratum).alias("_stratum")).agg(F.min("_at").alias("_begin"))
     placed = numbered.join(F.broadcast(begins), F.col(stratum).eqNullSafe(F.col("_stratum")))
-    wanted = _by_stratum(stratum, {s: b[2] for s, b in bins.items()})
-    rest = placed.filter(F.col("_at") - F.col("_begin") < wanted).select(*hashed.columns)
-    return taken.unionByName(rest).drop("_unit")
-
-
-def _narrowed(hashed: DataFrame, stratum: str, bins: Mapping) -> dict:
-    """For each stratum the part of its bin (low, high, rows wanted) in which the wanted number is reached."""
-    low = _by_stratum(stratum, {s: b[0] for s, b in bins.items()})
-    width = _by_stratum(stratum, {s: b[1] - b[0] for s, b in bins.items()})
-    part = F.floor((F.col("_unit") - low) / width * F.lit(_BINS)).cast("int")
-    counted = hashed.select(F.col(stratum), part.alias("_bin")).filter(F.col("_bin").between(0, _BINS - 1))
-    counts: dict = {}
-    for s, n, rows in counted.groupBy(stratum, "_bin").count().collect():
-        counts.setdefault(s, {})[n] = rows
-    narrowed = {}
-    for s, (begin, end, wanted) in bins.items():
-        step, n = (end - begin) / _BINS, 0
-        while n < _BINS - 1 and wanted > counts.get(s, {}).get(n, 0):
-            wanted -= counts.get(s, {}).get(n, 0)
-            n += 1
-        narrowed[s] = (begin + n * step, begin + (n + 1) * step, wanted)
-    return narrowed
+    return placed.filter(F.col("_at") - F.col("_begin") < _by_stratum(stratum, targets)).select(*df.columns)
 
 
 def sample_rows(df: DataFrame, rows: int, key: Sequence[str], stage: Stage, seed: int = 42) -> DataFrame:

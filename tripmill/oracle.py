@@ -153,7 +153,7 @@ TABLES: dict[str, str] = {
       WHERE {YEAR} AND f.trip_duration_min IS NOT NULL AND f.trip_distance IS NOT NULL
         AND m.fare_amount IS NOT NULL AND m.tip_amount IS NOT NULL""",
     "clustering": f"""SELECT f.trip_duration_min, f.trip_distance, d.hour, {DOW} AS day_of_week, m.fare_amount,
-        m.total_amount, m.tip_amount
+        m.total_amount, m.tip_amount, f.event_id
       FROM {STAR} JOIN dim_fare m ON f.fare_id = m.fare_id
       WHERE {YEAR} AND f.trip_duration_min > 0 AND f.trip_duration_min < 180
         AND f.trip_distance > 0 AND f.trip_distance < 100 AND m.fare_amount > 0""",
@@ -384,6 +384,7 @@ def sql() -> dict[str, str]:
     ).split()
     # Result columns in table order, and the marts that are not tables above.
     bodies = {m: f"SELECT * FROM {m}" for m in marts}
+    bodies["clustering"] = "SELECT * EXCLUDE (event_id) FROM clustering"
     bodies["weather_monthly"] = f"""SELECT CAST(date_trunc('month', full_datetime) AS TIMESTAMP) AS year_month,
         {half_up("avg(temp)", "avg_temp")}, {half_up("avg(precip)", "avg_precip")}, count(trip) AS trip_count
       FROM weather_trips GROUP BY 1"""
@@ -483,9 +484,11 @@ def sql() -> dict[str, str]:
         "m05_statistics": s(f"SELECT trip_type, {even('avg(trip_distance)')} AS trip_distance, {even('avg(trip_duration_min)')} AS trip_duration_min, {even('avg(fare_amount)')} AS fare_amount, count(*) AS count FROM named GROUP BY 1"),
         "m06_by_hour": s("SELECT hour, trip_type, count(*) AS count FROM named GROUP BY 1, 2"),
         "m07_sizes": s("SELECT trip_type, count(*) AS trip_count FROM named GROUP BY 1"),
-        "m08_sample": s("""SELECT trip_type, target AS sampled, target AS keys, target AS members FROM (
-            SELECT trip_type, CAST(least(n, greatest(floor(1000 * (n / CAST((SELECT count(*) FROM named) AS DOUBLE))), 100)) AS BIGINT) AS target
-            FROM (SELECT trip_type, count(*) AS n FROM named GROUP BY 1))"""),
+        "m08_sample": s("""SELECT event_id, trip_type FROM (
+            SELECT event_id, trip_type, row_number() OVER (PARTITION BY trip_type ORDER BY substr(md5(event_id || ':42'), 1, 13), event_id) AS place,
+                   count(*) OVER (PARTITION BY trip_type) AS n, count(*) OVER () AS total
+            FROM named)
+            WHERE place <= least(n, greatest(floor(1000 * (n / CAST(total AS DOUBLE))), 100))"""),
         "m11_assign": s("SELECT trip_duration_min, fare_amount, trip_distance, CAST(trip_cluster AS INTEGER) AS trip_cluster FROM assigned"),
         "g01_location_id": s("SELECT k AS customer, location_id, location_text FROM features"),
         "g02_points": s(f"SELECT k AS customer, CAST(position AS INTEGER) AS position, lon, lat FROM ({points_sql()})"),

@@ -746,15 +746,10 @@ def segment_sizes(p: Prepared) -> DataFrame:
 @query("m08_sample")
 def sample(p: Prepared) -> DataFrame:
     assigned = segments.assign(p.marts.clustering("event_id"), CENTROIDS, segments.FEATURES, "trip_cluster")
-    # Sampling reads its input several times, so it gets stored rows.
+    # Sampling reads its input twice, so it gets stored rows.
     assigned = p.stage.save(assigned.select("event_id", "trip_cluster", *segments.FEATURES), "assigned")
     named = p.stage.save(segments.name_segments(assigned).select("event_id", "trip_type"), "named")
-    drawn = stratified_sample(named, "trip_type", ["event_id"], p.stage, total=SAMPLE)
-    # Sizes, keys that are distinct, and drawn rows that stand in their segment of the input.
-    members = named.withColumn("member", F.lit(1)).join(drawn.select("event_id", "trip_type"), ["event_id", "trip_type"])
-    found = members.groupBy("trip_type").agg(F.count("*").alias("members"))
-    sizes = drawn.groupBy("trip_type").agg(F.count("*").alias("sampled"), F.count_distinct("event_id").alias("keys"))
-    return sizes.join(found, "trip_type")
+    return stratified_sample(named, "trip_type", ["event_id"], p.stage, total=SAMPLE)
 
 
 @query("m09_tip_clusters")
