@@ -66,6 +66,22 @@ def test_correlation_is_pairwise_complete(spark):
             assert got[x, y] == pytest.approx(got[y, x], abs=1e-12)
 
 
+def test_correlation_far_from_zero(spark):
+    """Values of a small spread around a large one, with a constant that binary fractions cannot hold."""
+    rng = random.Random(8)
+    data = [(1e9 + (x := rng.random()), 1e9 - x + rng.random() / 10, 0.1, None if rng.random() < 0.5 else 0.3) for _ in range(500)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double").repartition(5)
+    got = {(r["variable"], r["other"]): r["correlation"] for r in derive.correlation_matrix(df, df.columns).collect()}
+    assert got["a", "b"] == pytest.approx(statistics.correlation([r[0] - 1e9 for r in data], [r[1] - 1e9 for r in data]), abs=1e-9)
+    assert got["a", "c"] is None and got["d", "a"] is None and got["c", "c"] is None
+
+
+def test_correlation_groups_rows_before_it_makes_pairs(spark):
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS a", "IF(id % 3 = 0, NULL, CAST(id % 7 AS DOUBLE)) AS b")
+    plan = derive.correlation_matrix(df, df.columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range") == 1 and plan.rindex("Generate inline") < plan.rindex("Aggregate [known")
+
+
 def test_correlation_text(spark):
     df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 4.5, 1.0), (4.0, 5.0, 1.0)], "trip_distance double, tip_amount double, other double")
     matrix = derive.display_names(derive.correlation_matrix(df, df.columns))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,39 +148,64 @@ def shares(counts: DataFrame, column: str = "trip_count") -> DataFrame:
     return counts.withColumn("percent", F.try_divide(F.col(column) * F.lit(100.0), total))
 
 
+# Rows that are looked at for values near which moments are taken.
+_NEAR_ROWS = 100
+# A variance below this part of the mean square is rounding: the values are all the same.
+_CONSTANT = 1e-13
+
+
+def _near_values(numeric: DataFrame) -> list[float]:
+    """Some known value of each column: moments about it do not cancel as moments about zero do. A constant column
+    has its only value here, which makes its variance exactly zero."""
+    rows = numeric.head(_NEAR_ROWS)
+    return [next((float(r[i]) for r in rows if r[i] is not None), 0.0) for i in range(len(numeric.columns))]
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """``(row_no, col_no, variable, other, correlation, text)`` for every ordered pair, in one pass.
 
     Each pair uses the rows where both are known, and is null where it is undefined: the built-in ``corr``
-    divides by zero on a constant column under ANSI rules. Every row becomes one row per variable, combined
-    on the map side into one group each, so the aggregate has one set of moments per column instead of one
-    per pair and stays small enough for code generation.
+    divides by zero on a constant column under ANSI rules. Rows are grouped by which columns they know, one
+    set of counts, sums and products for each such pattern; a pair adds up the patterns that know both. There
+    are at most 2 ** columns patterns, so after the one pass only they are combined.
     """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = numeric.select("*", F.posexplode(F.array(*columns)).alias("place", "value"))
-    moments = []
-    for j, other in enumerate(columns):
-        moments += [
-            F.covar_pop("value", other).alias(f"covariance{j}"),
-            F.expr(f"stddev_pop(CASE WHEN `{other}` IS NOT NULL THEN value END)").alias(f"own{j}"),
-            F.expr(f"stddev_pop(CASE WHEN value IS NOT NULL THEN `{other}` END)").alias(f"other{j}"),
-        ]
+    numeric = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    near = _near_values(numeric)
+    places = range(len(columns))
+    pairs = [(i, j) for i in places for j in places if i <= j]
+    pattern = reduce(add, [F.when(F.col(f"v{i}").isNotNull(), 1 << i).otherwise(0) for i in places])
+    shifted = numeric.select(pattern.alias("known"), *[F.coalesce(F.col(f"v{i}") - near[i], F.lit(0.0)).alias(f"z{i}") for i in places])
+    sums = [F.sum(f"z{i}").alias(f"s{i}") for i in places] + [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}") for i, j in pairs]
+    patterns = shifted.groupBy("known").agg(F.count("*").cast("double").alias("n"), *sums)
+
+    def moments(i: int, j: int) -> Column:
+        values = {"n": "n", "x": f"s{i}", "y": f"s{j}", "xx": f"p{i}_{i}", "yy": f"p{j}_{j}", "xy": f"p{i}_{j}"}
+        both = (F.col("known").bitwiseAND(1 << i) != 0) & (F.col("known").bitwiseAND(1 << j) != 0)
+        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), *[F.when(both, F.col(c)).otherwise(0.0).alias(k) for k, c in values.items()])
+
+    whole = patterns.select(F.inline(F.array(*[moments(i, j) for i, j in pairs]))).groupBy("i", "j")
+    whole = whole.agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    mean = {c: F.try_divide(F.col(c), F.col("n")) for c in ("x", "y", "xx", "yy", "xy")}
+
+    def variance(square: Column, value: Column) -> Column:
+        spread = square - value * value
+        return F.when(spread > square * _CONSTANT, spread)
+
+    own, other = variance(mean["xx"], mean["x"]), variance(mean["yy"], mean["y"])
+    value = F.when(F.col("i") == F.col("j"), F.when(own > 0, 1.0)).otherwise((mean["xy"] - mean["x"] * mean["y"]) / F.sqrt(own * other))
+    halves = whole.select("i", "j", value.alias("correlation"))
+    turned = "inline(IF(i = j, array(struct(i, j)), array(struct(i, j), struct(j AS i, i AS j)))) AS (i, j)"
+    matrix = halves.selectExpr(turned, "correlation")
     names = F.array(*[F.lit(c) for c in columns])
-    cells = [
-        F.struct(
-            (F.col("place") + 1).alias("row_no"),
-            F.lit(j + 1).alias("col_no"),
-            names[F.col("place")].alias("variable"),
-            F.lit(other).alias("other"),
-            F.expr(
-                f"CASE WHEN place <> {j} THEN try_divide(covariance{j}, own{j} * other{j}) WHEN own{j} > 0 THEN 1D END"
-            ).alias("correlation"),
-        )
-        for j, other in enumerate(columns)
-    ]
-    matrix = long.groupBy("place").agg(*moments).select(F.inline(F.array(*cells)))
     text = F.format_string("%.2f", round_even(F.col("correlation")))
-    return matrix.withColumn("text", F.when(F.col("correlation").isNotNull(), text))
+    return matrix.select(
+        (F.col("i") + 1).alias("row_no"),
+        (F.col("j") + 1).alias("col_no"),
+        names[F.col("i")].alias("variable"),
+        names[F.col("j")].alias("other"),
+        "correlation",
+        F.when(F.col("correlation").isNotNull(), text).alias("text"),
+    )
 
 
 def display_names(matrix: DataFrame) -> DataFrame:
