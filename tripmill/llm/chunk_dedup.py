@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,12 +66,18 @@ def cuts(data: np.ndarray, settings: Settings = Settings()) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
+def _row(doc_id: Column, text: Column) -> Column:
+    return F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("bigint"))
+
+
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row per chunk: ``doc_id``, ``start`` and ``size`` in bytes of UTF-8, ``digest`` (64 bits: a run is several chunks)."""
-    source = docs.select(docs[doc_id].alias("doc_id"), text_of(text).alias("_text"))
+    """One row per chunk: ``doc_id``, ``row``, ``start`` and ``size`` in bytes of UTF-8, ``digest`` (64 bits: a run is
+    several chunks). ``row`` tells rows without an id apart, by a hash of their text; it is 0 where there is an id."""
+    source = docs.select(docs[doc_id].alias("doc_id"), text_of(text).alias("_text"), _row(docs[doc_id], text_of(text)).alias("row"))
     schema = T.StructType(
         [
             source.schema["doc_id"],
+            T.StructField("row", T.LongType()),
             T.StructField("start", T.LongType()),
             T.StructField("size", T.LongType()),
             T.StructField("digest", T.LongType()),
@@ -91,7 +97,7 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings
                 raw = data.tobytes()
                 spans = zip(start.tolist(), end.tolist())
                 digests = np.frombuffer(b"".join([hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in spans]), "<i8")
-                columns = [batch.column(0).take(pa.array(row)), pa.array(start - offsets[row - first])]
+                columns = [batch.column(i).take(pa.array(row)) for i in (0, 2)] + [pa.array(start - offsets[row - first])]
                 columns += [pa.array(end - start), pa.array(digests)]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
@@ -107,24 +113,32 @@ def repeated_spans(
     ``size`` are in bytes of UTF-8. The first place of a passage is not reported; places within the same
     document are. Null and empty texts have no chunks. Rows that repeat an id count as further places of the
     same document (the copy of a row repeats it only if its text is another place, which equal rows are not).
-    Rows with a null id are not compared, as they have no order. Other columns are not read.
+    Rows without an id come first, each text a document of its own, in the order of a hash; equal ones are one
+    document. Other columns are not read.
     """
+    return repeated_places(docs, doc_id, text, settings).drop("row")
+
+
+def repeated_places(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """``repeated_spans`` with ``row``, which tells rows without an id apart."""
     # Cut twice rather than stored: the chunks together take more room than the texts.
-    pieces = chunks(docs.where(docs[doc_id].isNotNull()), doc_id, text, settings)
-    place = F.struct("doc_id", "start")
+    pieces = chunks(docs, doc_id, text, settings)
+    place = F.struct("doc_id", "row", "start")
     # Partial sums: a chunk that many documents share arrives as one row from each task.
     groups = pieces.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1")
     # Written, so that the join deals both sides anew and Spark can split a digest that very many places have.
     groups = checkpointed(groups.select("digest", "first"))
     repeats = pieces.join(groups, "digest").where(F.col("first") != place)
-    of_text = Window.partitionBy("doc_id").orderBy("start")
+    of_text = Window.partitionBy("doc_id", "row").orderBy("start")
     behind = F.lag(F.col("start") + F.col("size")).over(of_text)
     fresh = F.when(behind.isNull() | (F.col("start") > behind), F.col("start"))
-    begun = repeats.select("doc_id", "start", "size", F.col("first.doc_id").alias("source_id"), fresh.alias("fresh"))
+    begun = repeats.select("doc_id", "row", "start", "size", F.col("first.doc_id").alias("source_id"), fresh.alias("fresh"))
     begin = F.last("fresh", ignorenulls=True).over(of_text.rowsBetween(Window.unboundedPreceding, 0))
     spans = (
         begun.select("*", begin.alias("begin"))
-        .groupBy("doc_id", "begin")
+        .groupBy("doc_id", "row", "begin")
         .agg(
             F.max(F.col("start") + F.col("size")).alias("stop"),
             F.count_distinct("start").alias("chunks"),
@@ -133,7 +147,7 @@ def repeated_spans(
     )
     size = F.col("stop") - F.col("begin")
     return spans.where(size >= settings.least_bytes).select(
-        F.col("doc_id").alias(doc_id), F.col("begin").alias("start"), size.alias("size"), "chunks", "source_id"
+        F.col("doc_id").alias(doc_id), "row", F.col("begin").alias("start"), size.alias("size"), "chunks", "source_id"
     )
 
 
@@ -141,13 +155,16 @@ def without_spans(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", tex
     """The rows and columns of ``docs`` with the spans cut out of the text.
 
     Bytes that are no whole character at the ends of a span go with it. Documents without a span, and
-    null texts, stay as they are.
+    null texts, stay as they are. Rows without an id need the spans of ``repeated_places``.
     """
-    listed = spans.groupBy(F.col(doc_id).alias("_span_id")).agg(
+    row = F.col("row") if "row" in spans.columns else F.lit(0).cast("bigint")
+    listed = spans.groupBy(F.col(doc_id).alias("_span_id"), row.alias("_span_row")).agg(
         F.array_sort(F.collect_list(F.struct("start", "size"))).alias("_spans")
     )
     names = docs.columns
-    joined = docs.join(listed, docs[doc_id] == listed["_span_id"], "left").select(*[docs[c] for c in names], "_spans")
+    own = _row(docs[doc_id], F.coalesce(docs[text].cast("string"), F.lit("")))
+    same = docs[doc_id].eqNullSafe(listed["_span_id"]) & (own == listed["_span_row"])
+    joined = docs.join(listed, same, "left").select(*[docs[c] for c in names], "_spans")
     schema = docs.schema
     at = names.index(text)
 
