@@ -35,18 +35,20 @@ def edited(line, edits, rng):
 
 
 def brute(rows, setting=Settings()):
+    size = len if setting.characters else lambda x: len(x.encode())
+    apart = points_apart if setting.characters else distance
     first = {}
     places = []
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
         for n, line in enumerate((text or "").split("\n")):
-            if len(line.encode()) >= setting.shortest:
+            if line.strip(" ") and size(line) >= setting.shortest_equal:
                 places.append((doc, n, line))
                 first.setdefault(line, (doc, n))
     near = set()
-    lines = list(first)
+    lines = [x for x in first if size(x) >= setting.shortest]
     for at, line in enumerate(lines):
-        close = (o for o in lines[:at] if abs(len(o.encode()) - len(line.encode())) <= setting.edits)
-        if any(distance(o, line) <= setting.edits for o in close):
+        close = (o for o in lines[:at] if abs(size(o) - size(line)) <= setting.edits)
+        if any(apart(o, line) <= setting.edits for o in close):
             near.add(line)
     return sorted({(d, n, line in near) for d, n, line in places if line in near or first[line] != (d, n)}, key=str)
 
@@ -115,7 +117,20 @@ def test_query_over_the_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     # Lines of nearly equal length are few, so all pairs can be tried.
-    assert sorted(map(tuple, op7_line_dedup(spark, sf_dir).collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, op7_line_dedup(spark, sf_dir).collect()), key=str) == brute(rows, Settings(characters=True))
+
+
+def test_short_lines_are_found_where_they_are_equal(spark):
+    """Floors count the unit of the edits: lines where bytes and characters differ, and short and blank ones."""
+    rows = [(1, "ab\n \n\n漢字語漢字語漢"), (2, "ab\n \n\n漢字語漢字語漢"), (3, "漢字語漢字語漢字語\nac\nñandú y niño, el año"), (4, "é\né\nñandu y niño, el año")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for setting in (Settings(), Settings(characters=True), Settings(characters=True, shortest_equal=3), Settings(shortest=5, shortest_equal=5)):
+        assert sorted(map(tuple, line_dedup.duplicate_lines(docs, settings=setting).collect()), key=str) == brute(rows, setting)
+    found = line_dedup.duplicate_lines(docs, settings=Settings(characters=True))
+    assert sorted(map(tuple, found.collect())) == [(2, 0, False), (2, 3, False), (4, 1, False), (4, 2, True)]
+    # The pipeline leaves short lines where they are.
+    kept = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert sorted(r["text"] for r in kept.where("doc_id < 4").collect()) == sorted(t for d, t in rows if d < 4)
 
 
 def points_apart(a, b):
@@ -127,7 +142,7 @@ def points_apart(a, b):
 @pytest.mark.parametrize("k", [1, 2])
 def test_edits_of_characters(spark, k):
     rng = random.Random(30 + k)
-    base = ["".join(rng.choice("abcé漢字語👍ñ ") for _ in range(rng.randint(20, 40))) for _ in range(8)]
+    base = ["".join(rng.choice("abcé漢字語👍ñ ") for _ in range(rng.randint(24, 40))) for _ in range(8)]
     lines = [edited(rng.choice(base), rng.choice((0, 1, 1, 2, 3)), rng) for _ in range(60)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     found = line_dedup.duplicate_lines(docs, settings=Settings(edits=k, filter_log_words=6, characters=True))

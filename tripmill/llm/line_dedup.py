@@ -38,8 +38,10 @@ class Settings:
     edits: int = 2
     # Count edits in characters, as the queries do, or in bytes, as levenshtein of DuckDB does.
     characters: bool = False
-    # Lines of fewer bytes always stay: brackets, headings and empty lines repeat for good reasons.
+    # Lines of fewer bytes or characters, as edits are counted, are near to nothing: a few edits make most short
+    # lines alike. Equal ones are found down to ``shortest_equal``; blank lines never are.
     shortest: int = 20
+    shortest_equal: int = 1
     # The filters have 2 ** so many words of 64 bits. Very many entries let more pass, but lose nothing.
     filter_log_words: int = 18
 
@@ -48,9 +50,9 @@ def _lines(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataF
     """Lines that are compared: place (id, hash of the row's text, number from 0), text, size in the unit of edits, and a 128-bit hash of the text."""
     row = _hash(text_of(text)).alias("row")
     split = docs.select(docs[doc_id].alias("doc_id"), row, F.posexplode(F.split(text_of(text), "\n")).alias("line_no", "line"))
-    long = split.where(F.octet_length("line") >= settings.shortest)
     size = F.char_length("line") if settings.characters else F.octet_length("line")
-    return long.withColumn("size", size).withColumn("h", _hash("line"))
+    sized = split.withColumn("size", size).where((F.col("size") >= settings.shortest_equal) & (F.trim("line") != ""))
+    return sized.withColumn("h", _hash("line"))
 
 
 def _hash(line: str | Column) -> Column:
@@ -213,8 +215,9 @@ def _near_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     first_pairs = led.where("h <> leader").select(F.col("h").alias("u"), F.col("leader").alias("v")).distinct()
     wanted = checkpointed(led.select("h").distinct())
     known = bloom.build_hashed(wanted.select(F.col("h.a").alias("key")), settings.filter_log_words)
-    texts = lines.where(known.holds(F.col("h.a"))).join(wanted, "h", "left_semi")
-    texts = checkpointed(texts.groupBy("h").agg(F.first("line").alias("line")))
+    # Grouped before it is joined, so that a line that stands in very many places arrives once from each task.
+    texts = lines.where(known.holds(F.col("h.a"))).groupBy("h").agg(F.first("line").alias("line"))
+    texts = checkpointed(texts.join(wanted, "h", "left_semi"))
     settled = checkpointed(_verified(first_pairs, texts, settings))
     others = led.where("h <> leader").join(texts.select("h", "line", _letters("line").alias("letters")), "h")
     u = others.join(settled, "h", "left_anti").select(
@@ -237,8 +240,9 @@ def duplicate_lines(
 
     A line goes where an earlier place (by id, then line number; a null id comes first) has the same line,
     or where its text has an earlier first place of another text within the edits (``near``). Lines are parted
-    by line feeds; edits are of bytes of UTF-8, or of ``Settings.characters``. Lines below ``Settings.shortest`` bytes always stay. Null and
-    empty texts have no line. A row is known by its id and its whole text: equal rows are one document, in which
+    by line feeds; edits are of bytes of UTF-8, or of ``Settings.characters``. Lines shorter than ``Settings.shortest``
+    in the same unit go for equal lines alone, and those below ``Settings.shortest_equal`` or of spaces alone stay. Null
+    and empty texts have no line. A row is known by its id and its whole text: equal rows are one document, in which
     the same place twice is no duplicate; rows of one id with other texts are others, in the order of a hash.
     """
     return duplicate_places(docs, doc_id, text, settings).select(doc_id, "line_no", "near").distinct()
@@ -249,7 +253,7 @@ def duplicate_places(
 ) -> DataFrame:
     """``duplicate_lines`` with ``row``, a hash that tells rows of one id, or without any, apart by their texts."""
     lines = _lines(docs, doc_id, text, settings)
-    near = _near_lines(lines, settings).withColumn("near", F.lit(True))
+    near = _near_lines(lines.where(F.col("size") >= settings.shortest), settings).withColumn("near", F.lit(True))
     places = lines.select("h", F.struct("doc_id", "row", "line_no").alias("place"))
     firsts = places.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     bad = firsts.join(near, "h", "left").where("near or first <> last")

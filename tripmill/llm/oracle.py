@@ -35,17 +35,27 @@ FROM parsed LEFT JOIN fits USING (page)
 """
 
 
+# Edits are of characters. DuckDB counts bytes, so the characters of two lines are written as one byte each, which holds
+# for up to 126 different characters in both lines. Two edits of characters are at most eight of bytes.
 LINE_DEDUP = """
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 lines AS (
   SELECT doc_id, CAST(n - 1 AS INTEGER) AS line_no, parts[n] AS line
   FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n FROM split)
-  WHERE strlen(parts[n]) >= 20
+  WHERE trim(parts[n]) <> ''
 ), firsts AS (
-  SELECT line, strlen(line) AS size, min(struct_pack(d := doc_id, n := line_no)) AS place FROM lines GROUP BY line
+  SELECT line, length(line) AS size, min(struct_pack(d := doc_id, n := line_no)) AS place FROM lines GROUP BY line
+), close AS (
+  SELECT u.line, v.line AS other, levenshtein(u.line, v.line) AS bytes FROM firsts u JOIN firsts v
+    ON v.size BETWEEN u.size - 2 AND u.size + 2 AND v.place < u.place AND u.size >= 20 AND v.size >= 20
+       AND levenshtein(u.line, v.line) <= 8
+), coded AS (
+  SELECT *, list_distinct(string_split(line || other, '')) AS letters FROM close
 ), near AS (
-  SELECT DISTINCT u.line FROM firsts u JOIN firsts v
-    ON v.size BETWEEN u.size - 2 AND u.size + 2 AND v.place < u.place AND levenshtein(u.line, v.line) <= 2
+  SELECT DISTINCT line FROM coded
+  WHERE bytes <= 2 OR levenshtein(
+    array_to_string(list_transform(string_split(line, ''), lambda c: chr(CAST(list_position(letters, c) AS INTEGER))), ''),
+    array_to_string(list_transform(string_split(other, ''), lambda c: chr(CAST(list_position(letters, c) AS INTEGER))), '')) <= 2
 )
 SELECT DISTINCT l.doc_id, l.line_no, n.line IS NOT NULL AS near
 FROM lines l JOIN firsts f USING (line) LEFT JOIN near n USING (line)
