@@ -10,6 +10,7 @@ from test_bpe import LIBRARY, expected
 
 import corpus_pipeline
 from tripmill.llm import toxicity
+from tripmill.llm.line_dedup import Settings
 from tripmill.llm.queries import queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -30,7 +31,7 @@ def test_run_equals_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in table.collect()]
     scores = model.scores(pa.array([t for _, t in rows]))
     rows = [r for r, s in zip(rows, scores) if s < 0.5]
-    gone = {(d, n) for d, n, _ in test_line_dedup.brute(rows)}
+    gone = {(d, n) for d, n, _ in test_line_dedup.brute(rows, Settings(characters=True, shortest_equal=20))}
     rows = [(d, "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) not in gone)) for d, t in rows]
     smallest = test_simhash.brute_components([(d, test_simhash.brute_print(t)) for d, t in rows])
     rows = [(d, t) for d, t in rows if smallest[d] == d]
