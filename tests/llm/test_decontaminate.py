@@ -140,3 +140,87 @@ def test_windows_see_parts_within_lines():
     found = {row: covered for row, _, covered, _ in pieces.search(pa.array(docs))}
     assert sorted(found) == [0, 1, 3, 4] and found[4] == 1
     assert all(0.5 <= found[row] <= 0.62 for row in (0, 1, 3))
+
+
+def test_every_length_has_its_edits():
+    """Items of 1 to 60 characters, with as many edits as 5 % of them are, and with one more."""
+    rng = random.Random(11)
+    for length in range(1, 61):
+        item = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length))
+        edits = int(0.05 * length)
+        index = Index([(0, item)], Settings())
+        assert index.edits.tolist() == [edits] and index.bound[0] >= 1
+        for changed in range(edits + 2):
+            # Changed characters as far apart as can be, so that the parts between are as short as can be.
+            places = {length * (n + 1) // (changed + 1) for n in range(changed)}
+            text = "0" * 30 + "".join("#" if i in places else c for i, c in enumerate(item)) + "1" * 30
+            best = fewest_edits(item, text)
+            found = [cost for *_, cost, _, _ in index.search(pa.array([text]))]
+            assert (min(found) if found else None) == (best if best <= edits else None), (length, changed)
+
+
+def brute_cover(items, docs, setting):
+    """Covered characters of each item by each document, piece by piece with full alignments."""
+    result = {}
+    for n, item in enumerate(items):
+        lines, at = [], 0
+        for line in item.split("\n"):
+            lines.append((at, at + len(line)))
+            at += len(line) + 1
+        last = len(item) - setting.window
+        windows = [(a, a + setting.window) for a in (*range(0, last, setting.step), last) if a >= 0]
+        for row, doc in enumerate(docs):
+            held = np.zeros(len(item), bool)
+            for a, b in [(0, len(item)), *lines, *windows]:
+                part = item[a:b].replace("\n", " ")
+                a, b = a + len(part) - len(part.lstrip()), b - (len(part) - len(part.rstrip()))
+                part = part.strip()
+                if (b - a == len(item) or b - a >= setting.q) and fewest_edits(part, plain(doc)) <= int(setting.edits * len(part)):
+                    held[a:b] = True
+            if held.sum() >= setting.covered * len(item):
+                result[row, n] = held.sum() / len(item)
+    return result
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10**6))
+def test_coverage_in_parts(seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    setting = Settings(q=rng.choice((5, 8, 12)), window=24, step=6, covered=rng.choice((0.3, 0.5, 0.8)))
+    items = ["\n".join(prose(rng.randint(1, 8)) for _ in range(rng.randint(1, 4))) for _ in range(4)]
+    docs = [prose(rng.randint(0, 20))]
+    for item in items:
+        a = rng.randrange(len(item))
+        docs += [prose(3) + " " + item[a:] + " " + prose(3), edited(item, rng.randrange(3), rng).upper(), item[: len(item) // 2] + prose(4)]
+    pieces = decontaminate.Pieces(list(enumerate(items)), setting)
+    found = {(row, item): share for row, item, share, _ in pieces.search(pa.array(docs))}
+    assert found == brute_cover(items, docs, setting)
+
+
+def test_cover_on_odd_rows_and_in_blocks(spark):
+    item = "the quick brown fox jumps over the lazy dog"
+    rows = [(1, None, 0), (2, "", 0), (3, f"so {item.upper()}\n", 0), (3, f"so {item.upper()}\n", 0), (4, "a" * 150_000 + "?", 0), (None, item, 0), (5, " \n\t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, covered int").selectExpr("*", "covered AS item_id", "text AS edits")
+    kinds = "item_id int, text string, doc_id int"
+    items = spark.createDataFrame([(7, item, 1), (8, None, 1), (9, "what?", 1), (7, item, 1), (10, "a" * 300, 1), (11, "a?", 1), (12, "", 1), (13, " \n", 1)], kinds)
+    want = [(3, 7, 0, 3, 46, 1.0)] * 4 + [(None, 7, 0, 0, 43, 1.0)] * 2 + [(4, 10, 0, 0, 300, 1.0), (4, 11, 0, 149_999, 150_001, 1.0)]
+    for setting in (Settings(), Settings(block_characters=50), Settings(block_characters=50, pass_characters=100)):
+        found = decontaminate.cover(docs, items, settings=setting)
+        assert found.columns == ["doc_id", "item_id", "edits", "start", "end", "covered"]
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+        kept = decontaminate.drop_contaminated(docs, items, settings=setting)
+        assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5]
+    long_only = Settings(shortest=12)
+    assert not decontaminate.cover(docs, items.where("item_id = 11"), settings=long_only).count()
+    assert decontaminate.cover(docs.limit(0), items).count() == decontaminate.cover(docs, items.limit(0)).count() == 0
+
+
+def test_blocks_share_one_pass_over_the_documents(spark):
+    docs = spark.createDataFrame([(n, f"document {n} about nothing") for n in range(50)], "doc_id long, text string")
+    items = spark.createDataFrame([(n, f"benchmark item number {n} in words") for n in range(40)], "item_id long, text string")
+    cut = list(decontaminate._passes(items, "item_id", "text", Settings(block_characters=100), 6))
+    assert len(cut) == 1 and len(cut[0]) == 40 and sorted(i for block in cut[0] for i, _ in block) == list(range(40))
+    plan = decontaminate.drop_contaminated(docs, items, settings=Settings(block_characters=100))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("MapInArrow") == 1

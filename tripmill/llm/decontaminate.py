@@ -5,7 +5,10 @@ of its q-grams with it, and all of them lie on k + 1 neighbouring diagonals (pla
 place in the item). Hits are counted in bands of diagonals that overlap by k, so one band holds them all.
 Bands that reach the bound are aligned inside the band; rows with at most k edits are results.
 
-Items come in blocks of bounded size, whose q-gram index travels to the tasks; documents stay in place.
+Short items get shorter q-grams, so that the bound is at least 1 for every item and its edits.
+
+The texts of items travel to the tasks, which index them block by block; documents stay in place and are read
+once for all blocks that fit a pass. No index is made by the driver.
 
 A document may also hold an item in parts, as when a line was cut out of it. So pieces of items are looked for
 in the same way, each with its own edits: the whole item, its lines, and overlapping windows. The characters
@@ -32,16 +35,24 @@ _PRIME = 0x01000193
 # Lower case and plain spaces for code points up to here, one to one so that places are kept.
 _MAPPED = 0x2100
 _HITS = 1 << 21
+# Cells of a batch of alignments, and bytes of documents that wait for all blocks of items.
+_CELLS = 1 << 22
+_WAITING = 32 << 20
 _COST = 32
 
 
 @dataclass(frozen=True)
 class Settings:
+    # q-grams of long items; parts of items are looked for from so many characters on.
     q: int = 12
-    # Edits allowed, as a share of the characters of an item.
+    # Edits allowed, as a share of the characters of an item; below 1.
     edits: float = 0.05
-    # Characters of items that are matched in one go.
+    # Items of fewer characters are not looked for.
+    shortest: int = 1
+    # Characters of pieces that a task indexes in one go.
     block_characters: int = 8_000_000
+    # Characters of items that are sent to the tasks for one pass over the documents.
+    pass_characters: int = 64_000_000
     # Windows of so many characters begin every so many characters of an item.
     window: int = 48
     step: int = 12
@@ -86,71 +97,95 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     return grams[: len(codes) - q + 1]
 
 
-class Index:
-    """q-grams of a block of items, sorted by hash, with their places."""
+@dataclass
+class Grams:
+    """q-grams of the items that share a q, sorted by hash, with their places."""
 
-    def __init__(self, items: list[tuple[int, str]], settings: Settings):
-        self.q = settings.q
-        codes = [normalise(np.frombuffer(t.encode("utf-32-le"), np.uint32))[0] for _, t in items]
-        codes = [c[1:] if len(c) and c[0] == _SPACE else c for c in codes]
-        codes = [c[:-1] if len(c) and c[-1] == _SPACE else c for c in codes]
-        kept = [i for i, c in enumerate(codes) if len(c) >= self.q]
-        self.ids = [items[i][0] for i in kept]
-        self.codes = [codes[i] for i in kept]
-        self.lengths = np.array([len(c) for c in self.codes], np.int64)
-        # No more edits than leave q shared q-grams, so that the bound says something.
-        self.edits = np.maximum(0, np.minimum((settings.edits * self.lengths).astype(np.int64), (self.lengths + 1) // self.q - 2))
-        self.bound = self.lengths + 1 - self.q * (self.edits + 1)
-        self.stride = np.maximum(16, 2 * self.edits)
-        grams = [_grams(c, self.q) for c in self.codes]
+    q: int
+    members: np.ndarray
+    codes: list[np.ndarray]
+
+    def __post_init__(self) -> None:
+        grams = [_grams(self.codes[i], self.q) for i in self.members]
         hashes = np.concatenate([np.zeros(0, np.uint32), *grams])
         order = np.argsort(hashes, kind="stable")
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
+        self.item = np.repeat(self.members, [len(g) for g in grams])[order]
         self.at = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]])[order]
         self.keys, self.first, self.count = np.unique(hashes[order], return_index=True, return_counts=True)
         # A bit for each hash prefix, so that most places of a document need no search.
         self.seen = np.zeros(1 << 20, bool)
         self.seen[self.keys >> 12] = True
 
-    def bands(self, codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, band) that hold enough hits. ``doc`` numbers the document of each character."""
-        none = np.zeros(0, np.int64)
+    def hits(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in ``codes``, item, place in the item) of equal hashes, a bounded number at a time."""
         grams = _grams(codes, self.q)
         places = np.flatnonzero(self.seen[grams >> 12])
         entry = np.searchsorted(self.keys, grams[places])
         there = self.keys[np.minimum(entry, len(self.keys) - 1)] == grams[places]
         places, entry = places[there], entry[there]
-        if not len(places):
-            return none, none, none
         ends = np.cumsum(self.count[entry])
-        longest = int(self.lengths.max())
-        n_bands = (len(codes) + 2 * longest) // 16 + 2
-        found, counts, begin = [], [], 0
+        begin = 0
         while begin < len(places):
             before = ends[begin - 1] if begin else 0
             last = max(begin + 1, int(np.searchsorted(ends, before + _HITS, "right")))
-            e, j = entry[begin:last], places[begin:last]
-            many = self.count[e]
+            many = self.count[entry[begin:last]]
             stop = np.cumsum(many)
-            hit = np.repeat(self.first[e] - stop + many, many) + np.arange(stop[-1])
-            j = np.repeat(j, many)
-            item = self.item[hit]
-            diagonal = j - self.at[hit] + longest
-            stride = self.stride[item]
-            band, lower = diagonal // stride, (diagonal - self.edits[item]) // stride
-            key = (doc[j] * len(self.ids) + item) * n_bands
-            keys = np.r_[key + band, (key + lower)[lower != band]]
-            k, n = np.unique(keys, return_counts=True)
-            found.append(k)
-            counts.append(n)
+            hit = np.repeat(self.first[entry[begin:last]] - stop + many, many) + np.arange(stop[-1])
+            yield np.repeat(places[begin:last], many), self.item[hit], self.at[hit]
             begin = last
+
+
+class Index:
+    """A block of items with their edits, bounds and q-grams."""
+
+    def __init__(self, items: list[tuple[int, str]], settings: Settings):
+        codes = [normalise(np.frombuffer(t.encode("utf-32-le"), np.uint32))[0] for _, t in items]
+        codes = [c[1:] if len(c) and c[0] == _SPACE else c for c in codes]
+        codes = [c[:-1] if len(c) and c[-1] == _SPACE else c for c in codes]
+        kept = [i for i, c in enumerate(codes) if len(c) >= max(1, settings.shortest)]
+        self.ids = [items[i][0] for i in kept]
+        self.codes = [codes[i] for i in kept]
+        self.lengths = np.array([len(c) for c in self.codes], np.int64)
+        self.edits = (settings.edits * self.lengths).astype(np.int64)
+        # An item cut into one part more than it may have edits keeps a part whole: q-grams no longer than that.
+        q = np.minimum(settings.q, self.lengths // (self.edits + 1))
+        self.bound = self.lengths + 1 - q * (self.edits + 1)
+        self.stride = np.maximum(16, 2 * self.edits)
+        self.grams = [Grams(int(n), np.flatnonzero(q == n), self.codes) for n in np.unique(q)]
+
+    def bands(self, codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, band) that hold enough hits. ``doc`` numbers the document of each character."""
+        none = np.zeros(0, np.int64)
+        longest = int(self.lengths.max())
+        n_bands = (len(codes) + 2 * longest) // 16 + 2
+        found, counts = [none], [none]
+        for grams in self.grams:
+            for j, item, at in grams.hits(codes):
+                diagonal = j - at + longest
+                stride = self.stride[item]
+                band, lower = diagonal // stride, (diagonal - self.edits[item]) // stride
+                key = (doc[j] * len(self.ids) + item) * n_bands
+                k, n = np.unique(np.r_[key + band, (key + lower)[lower != band]], return_counts=True)
+                found.append(k)
+                counts.append(n)
         keys, back = np.unique(np.concatenate(found), return_inverse=True)
-        total = np.bincount(back, np.concatenate(counts)).astype(np.int64)
+        total = np.bincount(back, np.concatenate(counts), len(keys)).astype(np.int64)
         item = keys // n_bands % len(self.ids)
         enough = total >= self.bound[item]
         keys, item = keys[enough], item[enough]
         return keys // n_bands // len(self.ids), item, keys % n_bands
 
+    def batches(self, items: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows to align together: of like lengths, so that a long item does not widen the rest, and bounded cells."""
+        order = np.argsort(self.lengths[items], kind="stable")
+        cells = np.maximum(self.lengths, self.stride + self.edits + 1)[items[order]]
+        begin = 0
+        while begin < len(order):
+            size = np.arange(1, min(256, len(order) - begin) + 1) * cells[begin : begin + 256]
+            last = begin + max(1, int(np.searchsorted(size, _CELLS, "right")))
+            yield order[begin:last]
+            begin = last
+
     def align(self, codes: np.ndarray, items: np.ndarray, bands: np.ndarray, spans: np.ndarray) -> np.ndarray:
         """Best alignment of each item inside its band: rows (edits, first place, place behind the last).
 
@@ -205,8 +240,7 @@ class Index:
             if not len(docs):
                 continue
             starts = np.r_[0, stops[:-1] + 1]
-            for begin in range(0, len(docs), 256):
-                part = slice(begin, begin + 256)
+            for part in self.batches(items):
                 spans = np.c_[starts[docs[part]], stops[docs[part]]]
                 best = self.align(codes, items[part], bands[part], spans)
                 for d, i, (cost, a, b) in zip(docs[part], items[part], best):
@@ -242,7 +276,8 @@ class Pieces:
         for a, b in ranges:
             piece = plain[a:b]
             a, b = a + len(piece) - len(piece.lstrip(" ")), b - (len(piece) - len(piece.rstrip(" ")))
-            if b - a >= settings.q and (item, a - left, b - left) not in (owners := self.owners.setdefault(plain[a:b], [])):
+            least = 1 if b - a == right - left else settings.q
+            if b - a >= least and (item, a - left, b - left) not in (owners := self.owners.setdefault(plain[a:b], [])):
                 owners.append((item, a - left, b - left))
 
     def search(self, texts: pa.Array) -> Iterator[tuple[int, int, float, tuple[int, int, int] | None]]:
@@ -266,25 +301,59 @@ class Pieces:
                 yield row, item, covered / self.lengths[item], whole.get((row, item))
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, settings: Settings, weight: int = 1) -> Iterator[list[tuple[int, str]]]:
-    """Blocks of items, each character counted ``weight`` times. A row is in a block by its hash, so a block is near its size."""
-    rows = items.select(F.col(item_id).alias("_id"), text_of(text).alias("_text")).where(F.length("_text") >= settings.q)
+def _passes(
+    items: DataFrame, item_id: str, text: str, settings: Settings, weight: int = 1
+) -> Iterator[list[list[tuple[int, str]]]]:
+    """The items of each pass over the documents, cut into blocks. A row is in a pass by its hash, so a pass is near its
+    size. The characters of a block count ``weight`` times; an item that is longer than a block stands alone."""
+    rows = items.select(F.col(item_id).alias("_id"), text_of(text).alias("_text")).where(F.length("_text") > 0)
     total = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
-    parts = -(-total * weight // settings.block_characters)
+    parts = -(-total // settings.pass_characters)
     for part in range(parts):
-        block = rows.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(parts)) == part)
-        yield [(r["_id"], r["_text"]) for r in block.collect()]
-
-
-def _indexes(items: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[Index]:
-    for block in _blocks(items, item_id, text, settings):
-        yield Index(block, settings)
-
-
-def _pieces(items: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[Pieces]:
+        mine = rows.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(parts)) == part)
+        cut: list[list[tuple[int, str]]] = []
+        room = 0
+        for r in mine.toLocalIterator():
+            size = weight * len(r["_text"])
+            if not cut or size > room:
+                cut.append([])
+                room = settings.block_characters
+            cut[-1].append((r["_id"], r["_text"]))
+            room -= size
+        if cut:
+            yield cut
+
+
+def _piece_weight(settings: Settings) -> int:
     # A character is in the whole item, in a line, and in the windows that overlap there.
-    for block in _blocks(items, item_id, text, settings, 2 + -(-settings.window // settings.step)):
-        yield Pieces(block, settings)
+    return 2 + -(-settings.window // settings.step)
+
+
+def _waiting(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined to larger ones, so that a block of items is indexed seldom."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= _WAITING:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _matched(
+    batches: Iterator[pa.RecordBatch], column: int, cut: list[list[tuple[int, str]]], kind: type, settings: Settings
+) -> Iterator[tuple[pa.RecordBatch, Iterator["Index | Pieces"]]]:
+    """Each batch with the indexes to look into. One block is indexed once for a task; of several, one at a time is held."""
+    if len(cut) == 1:
+        index = kind(cut[0], settings)
+        for batch in batches:
+            yield batch, iter([index])
+    else:
+        for batch in _waiting(batches, column):
+            yield batch, (kind(block, settings) for block in cut)
 
 
 def find(
@@ -299,8 +368,8 @@ def find(
 
     Columns: the ids, ``edits``, and the first place ``start`` and the place behind the last ``end``, in
     characters of the text; of several places the one with the fewest edits, then the first. Case and runs
-    of white space make no difference. Null and empty texts have no match; items of fewer than q characters
-    are not looked for. Repeated rows of documents give repeated rows; rows of items that repeat an id are
+    of white space make no difference. Null, empty and blank texts and items have no match, nor have items of fewer
+    than ``Settings.shortest`` characters. Repeated rows of documents give repeated rows; rows of items that repeat an id are
     told apart by text. Other columns are not read.
     """
     source = docs.select(docs[doc_id].alias(doc_id), text_of(text).alias("_text"))
@@ -308,18 +377,19 @@ def find(
     numbers = [T.StructField(n, T.LongType()) for n in ("edits", "start", "end")]
     schema = T.StructType([source.schema[doc_id], T.StructField(item_id, item_field.dataType), *numbers])
     result = docs.sparkSession.createDataFrame([], schema)
-    for index in _indexes(items, item_id, text, settings):
-
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                for row, item, *match in index.search(batch.column(1)):
-                    best[row, item] = min(tuple(match), best.get((row, item), tuple(match)))
-                rows = sorted(best)
-                columns = [batch.column(0).take(pa.array([r for r, _ in rows], pa.int64()))]
-                columns.append(pa.array([index.ids[i] for _, i in rows]).cast(_arrow(item_field.dataType)))
-                columns += [pa.array([best[r][n] for r in rows], pa.int64()) for n in range(3)]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+    for cut in _passes(items, item_id, text, settings):
+
+        def run(batches: Iterator[pa.RecordBatch], cut: list = cut) -> Iterator[pa.RecordBatch]:
+            for batch, indexes in _matched(batches, 1, cut, Index, settings):
+                for index in indexes:
+                    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+                    for row, item, *match in index.search(batch.column(1)):
+                        best[row, item] = min(tuple(match), best.get((row, item), tuple(match)))
+                    rows = sorted(best)
+                    columns = [batch.column(0).take(pa.array([r for r, _ in rows], pa.int64()))]
+                    columns.append(pa.array([index.ids[i] for _, i in rows]).cast(_arrow(item_field.dataType)))
+                    columns += [pa.array([best[r][n] for r in rows], pa.int64()) for n in range(3)]
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         result = result.union(source.mapInArrow(run, schema))
     return result
@@ -339,7 +409,7 @@ def cover(
     that lie in a piece which stands in the document, anywhere, up to the share of edits of the piece. Rows
     have at least ``Settings.covered``; ``edits``, ``start`` and ``end`` are null unless the whole item stands
     there, which covers all of it. A rest of a line that is shorter than a window is not seen, and up to
-    ``Settings.step`` characters at the ends of a longer one. Null, short and repeated rows are as in ``find``.
+    ``Settings.step`` characters at the ends of a longer one, nor a line of fewer than q characters alone. Null, short and repeated rows are as in ``find``.
     """
     source = docs.select(docs[doc_id].alias(doc_id), text_of(text).alias("_text"))
     item_field = items.schema[item_id]
@@ -347,16 +417,17 @@ def cover(
     share = T.StructField("covered", T.DoubleType())
     schema = T.StructType([source.schema[doc_id], T.StructField(item_id, item_field.dataType), *numbers, share])
     result = docs.sparkSession.createDataFrame([], schema)
-    for pieces in _pieces(items, item_id, text, settings):
-
-        def run(batches: Iterator[pa.RecordBatch], pieces: Pieces = pieces) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = list(pieces.search(batch.column(1)))
-                columns = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))]
-                columns.append(pa.array([pieces.ids[r[1]] for r in rows]).cast(_arrow(item_field.dataType)))
-                columns += [pa.array([r[3] and r[3][n] for r in rows], pa.int64()) for n in range(3)]
-                columns.append(pa.array([r[2] for r in rows], pa.float64()))
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+    for cut in _passes(items, item_id, text, settings, _piece_weight(settings)):
+
+        def run(batches: Iterator[pa.RecordBatch], cut: list = cut) -> Iterator[pa.RecordBatch]:
+            for batch, indexes in _matched(batches, 1, cut, Pieces, settings):
+                for pieces in indexes:
+                    rows = list(pieces.search(batch.column(1)))
+                    columns = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))]
+                    columns.append(pa.array([pieces.ids[r[1]] for r in rows]).cast(_arrow(item_field.dataType)))
+                    columns += [pa.array([r[3] and r[3][n] for r in rows], pa.int64()) for n in range(3)]
+                    columns.append(pa.array([r[2] for r in rows], pa.float64()))
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         result = result.union(source.mapInArrow(run, schema))
     return result
@@ -374,12 +445,13 @@ def drop_contaminated(
     """The rows of ``docs`` that ``cover`` has no row for, with the columns of ``docs``; nothing is shuffled."""
     schema = docs.schema
     at = docs.columns.index(text)
-    for pieces in _pieces(items, item_id, text, settings):
+    for cut in _passes(items, item_id, text, settings, _piece_weight(settings)):
 
-        def run(batches: Iterator[pa.RecordBatch], pieces: Pieces = pieces) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+        def run(batches: Iterator[pa.RecordBatch], cut: list = cut) -> Iterator[pa.RecordBatch]:
+            for batch, indexes in _matched(batches, at, cut, Pieces, settings):
                 clean = np.ones(batch.num_rows, bool)
-                clean[[row for row, *_ in pieces.search(batch.column(at))]] = False
+                for pieces in indexes:
+                    clean[[row for row, *_ in pieces.search(batch.column(at))]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, schema)
