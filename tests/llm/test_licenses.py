@@ -90,3 +90,35 @@ def test_query_over_the_table(spark):
         assert row["base_labels"] == ",".join(sorted({k for _, k in places}))
         assert set(row["base_labels"].split(",")) <= set(row["labels"].split(",")) | {""}
     assert any("gpl-3" in r["labels"] for r in rows)
+
+
+def test_each_byte_behind_a_tag_is_parsed_once(monkeypatch):
+    """Texts of many tags, in lines of their own or in one line, cost steps in proportion to their length."""
+    steps = []
+
+    class Counted:
+        def match(self, text, at, end):
+            steps.append(end - at)
+            return inner.match(text, at, end)
+
+    inner = licenses._TOKEN
+    monkeypatch.setattr(licenses, "_TOKEN", Counted())
+    for form in ("SPDX-License-Identifier: MIT\n", "SPDX-License-Identifier: MIT ", "SPDX-License-Identifier:MIT AND ", "spdx license identifier (MIT or GPL-2.0) "):
+        counts = []
+        for n in (500, 1000):
+            steps.clear()
+            _, _, labels, score = SCANNER.scan((form * n).encode())
+            assert "mit" in labels and score == 1.0
+            counts.append((len(steps), sum(steps)))
+        assert counts[1][0] <= 2.1 * counts[0][0] and counts[1][1] <= 2.1 * counts[0][1], form
+
+
+def test_long_texts():
+    notices = "under the MIT license. " * 45_000
+    n, places, labels, score = SCANNER.scan(notices.encode())
+    assert n == 180_000 and [w for w, _, _ in places] == list(range(0, 180_000, 4)) and (labels, score) == ([], 1.0)
+    chain = "SPDX-License-Identifier: " + " AND ".join(f"Own-{i}" for i in range(60_000))
+    assert len(SCANNER.scan(chain.encode())[2]) == 60_000
+    assert SCANNER.scan(b"SPDX-License-Identifier: \n MIT")[2] == []
+    assert SCANNER.scan(b"SPDX-License-Identifier")[2] == []
+    assert SCANNER.scan(b"SPDX-License-Identifier: `ISC` SPDX-License-Identifier: 'MIT'")[2] == ["isc", "mit"]

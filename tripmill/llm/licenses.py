@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -82,23 +83,25 @@ IDENTIFIERS = {
 
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(rb"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
-_WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+_BEFORE = re.compile(rb"[: \t\"'`]*")
 # ASCII letters become lower case; all that is no part of a word becomes a space.
 _WORDS = bytes(
     b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 0x20 for b in range(256)
 )
 
 
-def parse(expression: bytes) -> list[str]:
+def parse(expression: bytes, at: int = 0, end: int | None = None) -> list[str]:
     """Shunting-yard: the longest well-formed beginning of an expression in postfix order, in lower case.
 
+    Reads ``expression`` from ``at`` to ``end``.
+
     Ends where an operand follows an operand or anything else follows that cannot. An operator without its
     right side is dropped and open brackets are closed. Nothing well-formed gives an empty list.
     """
     output: list[str] = []
     stack: list[str] = []
-    at, operand = 0, True
-    while found := _TOKEN.match(expression, at):
+    operand, end = True, len(expression) if end is None else end
+    while found := _TOKEN.match(expression, at, end):
         token = found[1].decode().lower().rstrip(".:")
         if operand:
             if token in _PRECEDENCE or token == ")":
@@ -144,19 +147,25 @@ def licence(identifier: str) -> Terms:
 
 def evaluate(postfix: list[str]) -> Terms | None:
     """Labels of all licences; the freest choice of OR, the strictest part of AND; WITH lifts half of the limits."""
-    stack: list[Terms | str] = []
+    stack: list[tuple[set[str], float] | str] = []
     for i, token in enumerate(postfix):
         if token not in _PRECEDENCE:
             # The exception of a WITH is no licence: it stands just before its operator.
-            stack.append(token if postfix[i + 1 : i + 2] == ["with"] and stack else licence(token))
+            if postfix[i + 1 : i + 2] == ["with"] and stack:
+                stack.append(token)
+            else:
+                terms = licence(token)
+                stack.append((set(terms.labels), terms.freedom))
             continue
         right, left = stack.pop(), stack.pop()
         if token == "with" or isinstance(right, str):
-            stack.append(Terms(left.labels, (1 + left.freedom) / 2))
+            stack.append((left[0], (1 + left[1]) / 2))
         else:
-            choose = max if token == "or" else min
-            stack.append(Terms(left.labels | right.labels, choose(left.freedom, right.freedom)))
-    return stack[0] if stack and isinstance(stack[0], Terms) else None
+            # The smaller set goes into the larger one, so that long chains stay cheap.
+            small, large = sorted((left[0], right[0]), key=len)
+            large |= small
+            stack.append((large, (max if token == "or" else min)(left[1], right[1])))
+    return Terms(frozenset(stack[0][0]), stack[0][1]) if stack and not isinstance(stack[0], str) else None
 
 
 class Scanner:
@@ -173,29 +182,44 @@ class Scanner:
 
     def scan(self, raw: bytes) -> tuple[int, list[tuple[int, str, bool]], list[str], float]:
         """Number of words; places (word, label, base); labels of expressions; freedom of all together."""
-        words = raw.translate(_WORDS).split()
+        mapped = raw.translate(_WORDS)
+        words = mapped.split()
         # One byte is one character here, so that positions stay simple.
         text = f" {b' '.join(words).decode('latin-1')} "
-        places, labels, freedom = [], [], []
-        for end, (length, label, is_base) in self.automaton.iter(text):
-            word = text.count(" ", 0, end + 1 - length)
-            if label is not None:
+        hits = [(end + 1 - length, label, is_base) for end, (length, label, is_base) in self.automaton.iter(text)]
+        if not hits:
+            return len(words), [], [], 0.0
+        # A hit begins at the space before its first word.
+        spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 0x20)
+        at = np.searchsorted(spaces, [start for start, _, _ in hits]).tolist()
+        places, tags, labels, freedom = [], [], [], []
+        for word, (_, label, is_base) in zip(at, hits):
+            if label is None:
+                tags.append(word)
+            else:
                 places.append((word, label, is_base))
                 freedom.append(FREEDOM.get(label, UNKNOWN_FREEDOM))
-            elif terms := evaluate(parse(self._behind(raw, word + self.tag_words - 1))):
+        for begin, stop in self._behind(raw, mapped, tags):
+            if terms := evaluate(parse(raw, begin, stop)):
                 labels += terms.labels
                 freedom.append(terms.freedom)
         return len(words), sorted(places), sorted(set(labels)), min(freedom, default=0.0)
 
-    @staticmethod
-    def _behind(raw: bytes, word: int) -> bytes:
-        """The line behind a word, without the colon."""
-        at = 0
-        for count, found in enumerate(_WORD.finditer(raw.lower())):
-            if count == word:
-                at = found.end()
-                break
-        return raw[at:].split(b"\n", 1)[0].lstrip(b": \t\"'`")
+    def _behind(self, raw: bytes, mapped: bytes, tags: list[int]) -> Iterator[tuple[int, int]]:
+        """Of each tag, the place behind it, without the colon, and the end of its line or the next tag, if that is nearer.
+
+        ``tags`` has the first words of the tags in order; the parts do not overlap, so all are read once.
+        """
+        if not tags:
+            return
+        inside = np.frombuffer(mapped, np.uint8) != 0x20
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        following = [*starts[tags[1:]].tolist(), len(raw)]
+        for word, limit in zip(tags, following):
+            begin = int(ends[word + self.tag_words - 1])
+            feed = raw.find(b"\n", begin, limit)
+            yield _BEFORE.match(raw, begin).end(), limit if feed < 0 else feed
 
 
 def scan(
@@ -209,7 +233,7 @@ def scan(
 
     Per input row: the id, ``n_words``, ``places`` (word, label, base) of all phrases in order of words,
     ``expression_labels``, and ``score``: how freely the text may be used, as the strictest of all notices
-    and expressions says, and 0 where nothing is found. Null and empty texts have no words. Repeated rows
+    and expressions says, and 0 where nothing is found. An expression ends with its line or before the next tag. Null and empty texts have no words. Repeated rows
     are scanned each; other columns are not read.
     """
     source = docs.select(docs[doc_id].alias(doc_id), text_of(text).cast("binary").alias("_text"))
