@@ -10,6 +10,7 @@ from tripmill.functions.columns import hour_floor
 from tripmill.operators import keys, star
 from tripmill.operators.cleaning import TripCleaner
 from tripmill.session import Stage
+from tripmill.sources import files
 
 TYPES = (
     "id int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, fare_amount double, "
@@ -186,3 +187,23 @@ def test_star_in_another_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", before)
     assert results[0] == results[1] and results[0][1] == [1, 2, 3, 4]
+
+
+def test_fares_in_order_of_first_appearance(spark, cleaned, tmp_path):
+    """Numbered by files in order of their names and rows in order of their places, whatever the partitions."""
+    money = star.money_columns(cleaned)
+    for month in ("b", "a"):
+        part = cleaned.filter(F.col("event_id") % 2 == int(month == "a")).orderBy(F.xxhash64("event_id"))
+        part.coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / f"{month}.parquet"))
+    placed = files.read_trips(spark, str(tmp_path), positions=True)
+    rows = sorted(placed.select(*star.POSITION, "event_id", *money).collect(), key=lambda r: (r[0], r[1]))
+    assert len({(r[0], r[1]) for r in rows}) == len(rows) == cleaned.count()
+    want: dict = {}
+    ids = {r["event_id"]: want.setdefault(tuple(r[3:]), len(want) + 1) for r in rows}
+    for limit in (star.BROADCAST_BYTES, 0):
+        built = star.build_star(placed.repartition(5), Stage(spark), broadcast_bytes=limit, hot_share=0.05, position=star.POSITION)
+        assert {tuple(r[c] for c in money): r["fare_id"] for r in built.dim_fare.collect()} == want
+        assert {r["event_id"]: r["fare_id"] for r in built.fact_trips.select("event_id", "fare_id").collect()} == ids
+        assert not set(star.POSITION) & set(built.fact_trips.columns) and "first_seen" not in built.dim_fare.columns
+    plain = star.build_star(placed, Stage(spark))
+    assert plain.fact_trips.columns == star.build_star(cleaned, Stage(spark)).fact_trips.columns

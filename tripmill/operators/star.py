@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from typing import Protocol
@@ -25,6 +26,8 @@ from tripmill.operators.keys import BROADCAST_BYTES, HOT_SHARE, dense_key, fits_
 from tripmill.session import Stage
 
 HOUR_COLUMNS = ("datetime_id", "full_datetime")
+# Where a row stands in its files, if the reader was asked for it. Not part of the fact.
+POSITION = ("source_file", "source_row")
 
 
 class Store(Protocol):
@@ -165,13 +168,26 @@ def money_columns(df: DataFrame) -> list[str]:
     return [c for c in MONEY_COLUMNS if c in df.columns]
 
 
-def fare_combinations(trips: DataFrame) -> DataFrame:
-    """Distinct combinations of the money columns with their trip counts; nulls equal each other."""
-    return trips.groupBy(*money_columns(trips)).agg(F.count(F.lit(1)).alias("trips"))
+def fare_combinations(trips: DataFrame, position: Sequence[str] = ()) -> DataFrame:
+    """Distinct combinations of the money columns with their trip counts; nulls equal each other.
+
+    With the columns of a ``position``, which tell rows apart, ``first_seen`` is the first row of a combination.
+    The last column, a number, is reduced on its own first, so that only the rest is compared as a struct.
+    """
+    money = money_columns(trips)
+    if not position:
+        return trips.groupBy(*money).agg(F.count(F.lit(1)).alias("trips"))
+    *files, row = position
+    first = trips.groupBy(*files, *money).agg(F.min(row).alias(row), F.count(F.lit(1)).alias("trips"))
+    if not files:
+        return first.withColumnRenamed(row, "first_seen")
+    return first.groupBy(*money).agg(F.min(F.struct(*position)).alias("first_seen"), F.sum("trips").alias("trips"))
 
 
 def number_fares(combinations: DataFrame, stage: Stage) -> DataFrame:
-    return dense_key(combinations, money_columns(combinations), "fare_id", stage)
+    """``fare_id`` in the order of the first rows if those are known, else of the money columns."""
+    known = "first_seen" in combinations.columns
+    return dense_key(combinations, ["first_seen"] if known else money_columns(combinations), "fare_id", stage)
 
 
 def hot_fares(numbered: DataFrame, share: float = HOT_SHARE) -> DataFrame:
@@ -206,23 +222,24 @@ def build_star(
     tables: Store | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
+    position: Sequence[str] = (),
 ) -> Star:
     """Dimensions are stored first, so their sizes are known when the fact is joined to them.
 
     ``tables`` stores the dimensions where they are to stay; by default that is the stage. The trips are
     read once per table with only the columns it needs, so pass trips that are stored, not a long
-    computation.
+    computation. ``position`` names columns by which fares are numbered in order of first appearance.
     """
     tables = tables or stage
     derived = add_metrics(trips)
     dim_datetime = tables.save(build_dim_datetime(derived, stage), "dim_datetime")
     hours_are_small = fits_broadcast(dim_datetime.count(), HOUR_COLUMNS, broadcast_bytes)
-    fact = attach_datetime_id(derived, dim_datetime, hours_are_small)
+    fact = attach_datetime_id(derived.drop(*POSITION), dim_datetime, hours_are_small)
     if not money_columns(derived):
         dim_fare = tables.save(trips.sparkSession.range(1, 2).select(F.col("id").alias("fare_id")), "dim_fare")
         fact = fact_order(fact.withColumn("fare_id", F.lit(1).cast("bigint")))
         return Star(dim_datetime, dim_fare, fact, broadcast_bytes=broadcast_bytes)
-    numbered = number_fares(fare_combinations(derived), stage).select("fare_id", *money_columns(derived), "trips")
+    numbered = number_fares(fare_combinations(derived, position), stage).select("fare_id", *money_columns(derived), "trips")
     dim_fare = tables.save(numbered.drop("trips"), "dim_fare")
     small = fits_broadcast(dim_fare.count(), dim_fare.columns, broadcast_bytes)
     # A dimension that is broadcast whole needs no list of hot combinations.

@@ -437,6 +437,8 @@ def sql() -> dict[str, str]:
         "t09_hour_join": s("SELECT event_id, datetime_id FROM fact"),
         "t10_fare_combinations": "SELECT l_discount AS fare_amount, l_tax AS tip_amount, CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_quantity END AS total_amount, count(*) AS trips FROM lineitem GROUP BY 1, 2, 3",
         "t11_fare_keys": s("SELECT * FROM dim_fare"),
+        "t11_first_appearance": s(f"""SELECT CAST(row_number() OVER (ORDER BY min(event_id)) AS BIGINT) AS fare_id, {MONEY},
+            min(event_id) AS event_id, count(*) AS trips FROM clean GROUP BY {MONEY}"""),
         "t12_fare_join": s("SELECT event_id, fare_id FROM fact"),
         "t13_fact_order": s("SELECT * FROM fact"),
         "t14_no_money": s(f"SELECT * EXCLUDE (fare_id) REPLACE (CAST(NULL AS DOUBLE) AS tip_percentage), CAST(1 AS BIGINT) AS fare_id FROM fact"),

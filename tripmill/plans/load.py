@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmill.config import CleaningConfig, QualityConfig
 from tripmill.operators.cleaning import TripCleaner
 from tripmill.operators.quality import StarChecker
-from tripmill.operators.star import Star, build_star
+from tripmill.operators.star import POSITION, Star, build_star
 from tripmill.operators.weather import build_dim_weather
 from tripmill.session import Stage
 from tripmill.sources.files import read_trips, read_weather
@@ -26,20 +26,22 @@ def load_trips(
     quality: QualityConfig | None = None,
     stage: Stage | None = None,
     compact: bool = True,
+    first_appearance: bool = False,
 ) -> Star:
     """Clean trips, build the star, check it and publish it. A failed check leaves the current star as it is.
 
     The cleaned trips are written to the stage once and every table reads the columns it needs from there.
     The star is written once as well, under pending names; the checks read those tables, and publishing
     renames them. ``compact`` fills fact files month by month at the price of a shuffle; switch it off for
-    trips that already lie in order of months. A stage of its own is removed at the end.
+    trips that already lie in order of months. A stage of its own is removed at the end. ``first_appearance``
+    numbers fares in the order of files and rows; the trips must have been read with their positions.
     """
     if stage is None:
         with Stage(trips.sparkSession) as own:
-            return load_trips(trips, warehouse, cleaning, quality, own, compact)
+            return load_trips(trips, warehouse, cleaning, quality, own, compact, first_appearance)
     cleaned = stage.save(TripCleaner(cleaning).clean(trips), "cleaned")
     warehouse.begin()
-    star = build_star(cleaned, stage, warehouse)
+    star = build_star(cleaned, stage, warehouse, position=POSITION if first_appearance else ())
     warehouse.save_fact(star.fact_trips, f"fact_trips{PENDING}", compact)
     pending = warehouse.load_star(PENDING)
     StarChecker(cleaned, pending, quality or QualityConfig(cleaning.start, cleaning.end)).raise_on_failure()
@@ -66,7 +68,9 @@ def run(
     weather_paths: Sequence[str] = (),
     warehouse: Warehouse | None = None,
     cleaning: CleaningConfig = CleaningConfig(),
+    first_appearance: bool = False,
 ) -> Star:
     warehouse = warehouse or Warehouse(spark)
-    load_trips(read_trips(spark, trip_directory), warehouse, cleaning)
+    trips = read_trips(spark, trip_directory, positions=first_appearance)
+    load_trips(trips, warehouse, cleaning, first_appearance=first_appearance)
     return load_weather(read_weather(spark, weather_paths), warehouse)

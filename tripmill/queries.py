@@ -387,6 +387,13 @@ def fare_keys(p: Prepared) -> DataFrame:
     return stars.number_fares(stars.fare_combinations(p.cleaned), p.stage).drop("trips")
 
 
+@query("t11_first_appearance")
+def fare_keys_by_appearance(p: Prepared) -> DataFrame:
+    """Fares numbered in the order of their first trips, which are in order of ``event_id``."""
+    numbered = stars.number_fares(stars.fare_combinations(p.cleaned, ["event_id"]), p.stage)
+    return numbered.select("fare_id", *stars.money_columns(numbered), F.col("first_seen").alias("event_id"), "trips")
+
+
 @query("t12_fare_join")
 def fare_join(p: Prepared) -> DataFrame:
     star = p.star

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.config import WEATHER_ATTRIBUTES
+from tripmill.operators.star import POSITION
 
 log = logging.getLogger(__name__)
 
@@ -22,16 +23,17 @@ FEATURE_TYPE = (
 ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
 
 
-def read_trips(spark: SparkSession, directory: str, schema: str | None = None) -> DataFrame:
+def read_trips(spark: SparkSession, directory: str, schema: str | None = None, positions: bool = False) -> DataFrame:
     """All ``*.parquet`` entries directly in a directory, united by column name.
 
     A column that a file lacks is null there. Files whose types disagree are read entry by entry, so that
-    the union can widen them. With a ``schema`` no footer has to be read to plan the scan.
+    the union can widen them. With a ``schema`` no footer has to be read to plan the scan. ``positions`` adds
+    the path of the file and the place of the row in it.
     """
     pattern = f"{directory.rstrip('/')}/*.parquet"
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     try:
-        return reader.parquet(pattern)
+        return _placed(reader.parquet(pattern), positions)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(f"no .parquet files in {directory}") from error
@@ -39,10 +41,17 @@ def read_trips(spark: SparkSession, directory: str, schema: str | None = None) -
     except Exception as error:
         if "CANNOT_MERGE" not in str(error):
             raise
-    frames = [reader.parquet(entry) for entry in _entries(spark, pattern)]
+    frames = [_placed(reader.parquet(entry), positions) for entry in _entries(spark, pattern)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _with_common_types(frames))
 
 
+def _placed(trips: DataFrame, positions: bool) -> DataFrame:
+    if not positions:
+        return trips
+    place = (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return trips.select("*", *[column.alias(name) for column, name in zip(place, POSITION)])
+
+
 def _entries(spark: SparkSession, pattern: str) -> list[str]:
     """The monthly files or datasets, as the file system lists them: not the parts inside them."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
