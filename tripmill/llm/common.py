@@ -25,13 +25,26 @@ def text_of(column: str = "text") -> Column:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder; Spark removes the files when the frame is no longer used."""
+    """Cut the lineage through the shared folder.
+
+    The files stay unless ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, which removes them when the
+    frame is no longer used.
+    """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def spread(df: DataFrame, each: int, rows: int = 1 << 20) -> DataFrame:
+    """Deal a stored frame of narrow rows anew, so that tasks make about ``rows`` rows where a row becomes ``each``.
+
+    No more partitions than a shuffle of the session has. Few bytes would else be read by few tasks.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(most, -(-df.count() * each // rows))))
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts in one array, and the offsets at which each text starts; null is empty."""
     if texts.null_count:
