@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -198,14 +199,12 @@ def _vectors(sample: DataFrame, buckets: np.ndarray, ratios: np.ndarray, setting
                 lists.append(np.sort(at[at >= 0]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["_label", "at"])
 
-    size = len(buckets)
-
-    @F.udf(VectorUDT())
-    def sparse(at):
-        return Vectors.sparse(size, at, ratios[at])
-
     listed = sample.select("_text", "_label").mapInArrow(run, "_label int, at array<int>")
-    return listed.select("_label", sparse("at").alias("features"))
+    # Places become vectors in the JVM, so that a task needs one Python worker and not two.
+    places = CountVectorizerModel.from_vocabulary([str(n) for n in range(len(buckets))], "at", "found")
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense(ratios), inputCol="found", outputCol="features")
+    vectors = places.transform(listed.select("_label", F.col("at").cast("array<string>").alias("at")))
+    return scaled.transform(vectors).select("_label", "features")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", column: str = "score") -> DataFrame:
