@@ -24,6 +24,27 @@ def test_trip_files_of_different_types_are_widened(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [(1.0, "a"), (2.5, "b")]
 
 
+def test_trip_files_of_equal_types_are_one_scan(spark, tmp_path):
+    """Twelve entries of three forms, dealt in turn; the last is a folder of two files that lack a column each."""
+    kinds = ["id int, code string", "id double, code string", "code string, id bigint, late int"]
+    expected = []
+    for n in range(12):
+        row = [(n, "a"), (n + 0.5, "b"), ("c", n, n)][n % 3]
+        frame, path = spark.createDataFrame([row], kinds[n % 3]).coalesce(1), str(tmp_path / f"m{n:02}.parquet")
+        if n == 11:
+            frame.drop("late").write.parquet(path)
+            frame.drop("code").write.mode("append").parquet(path)
+            expected += [(11.0, "c", None), (11.0, None, 11)]
+        else:
+            frame.write.parquet(path)
+            expected.append((float(row[n % 3 // 2]), row[1 - n % 3 // 2], n if n % 3 == 2 else None))
+    df = files.read_trips(spark, str(tmp_path))
+    assert sorted(map(str, map(tuple, df.select("id", "code", "late").collect()))) == sorted(map(str, expected))
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == len({"int", "double", "bigint"})
+    placed = files.read_trips(spark, str(tmp_path), positions=True)
+    assert placed.select(*files.POSITION).distinct().count() == placed.count() == 13
+
+
 def test_trip_files_with_given_schema(spark, tmp_path):
     spark.createDataFrame([(1, 2.0)], "id int, extra double").write.parquet(str(tmp_path / "a.parquet"))
     assert files.read_trips(spark, str(tmp_path), "id int").columns == ["id"]

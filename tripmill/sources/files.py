@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -21,13 +22,15 @@ FEATURE_TYPE = (
     "struct<type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
 )
 ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
+# Entries whose footers are read at a time when a folder holds several forms.
+FOOTER_JOBS = 16
 
 
 def read_trips(spark: SparkSession, directory: str, schema: str | None = None, positions: bool = False) -> DataFrame:
     """All ``*.parquet`` entries directly in a directory, united by column name.
 
-    A column that a file lacks is null there. Files whose types disagree are read entry by entry, so that
-    the union can widen them. With a ``schema`` no footer has to be read to plan the scan. ``positions`` adds
+    A column that a file lacks is null there. Where types disagree, entries of equal types are one scan, so
+    that the union can widen them: as many scans as there are forms of entries, not as there are entries. With a ``schema`` no footer has to be read to plan the scan. ``positions`` adds
     the path of the file and the place of the row in it.
     """
     pattern = f"{directory.rstrip('/')}/*.parquet"
@@ -41,10 +44,25 @@ def read_trips(spark: SparkSession, directory: str, schema: str | None = None, p
     except Exception as error:
         if "CANNOT_MERGE" not in str(error):
             raise
-    frames = [_placed(reader.parquet(entry), positions) for entry in _entries(spark, pattern)]
+    frames = [_placed(frame, positions) for frame in _by_form(spark, _entries(spark, pattern))]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _with_common_types(frames))
 
 
+def _by_form(spark: SparkSession, entries: list[str]) -> list[DataFrame]:
+    """One scan for all entries that have the same columns and types, in any order of columns. Spark reads
+    the footers of an entry in tasks; several entries are looked at side by side."""
+
+    def schema(entry: str) -> T.StructType:
+        return spark.read.option("mergeSchema", True).parquet(entry).schema
+
+    with ThreadPoolExecutor(FOOTER_JOBS) as pool:
+        schemas = list(pool.map(schema, entries))
+    alike: dict[tuple[str, ...], list[int]] = {}
+    for number, found in enumerate(schemas):
+        alike.setdefault(tuple(sorted(field.json() for field in found)), []).append(number)
+    return [spark.read.schema(schemas[same[0]]).parquet(*[entries[n] for n in same]) for same in alike.values()]
+
+
 def _placed(trips: DataFrame, positions: bool) -> DataFrame:
     if not positions:
         return trips
