@@ -1,6 +1,6 @@
 """Exact duplicates by an exchange of Golomb-coded fingerprints.
 
-1. Senders, which are parts of the input's partitions, sort the fingerprints of their rows, and send each
+1. Fingerprints of all rows are written, and few bytes of them are read by each sender, which sorts its own and sends each
    owner (a range of fingerprints) the distinct ones as Golomb-coded differences.
 2. Owners merge what they receive and answer each sender with a bitmap: which of its sorted fingerprints
    another sender has too. A sender knows by itself which fingerprints it has twice.
@@ -8,11 +8,13 @@
    partial grouping on each task, so a large group of copies arrives as one row from each task.
 
 Rows, ranks and messages of a sender are written together before owners read them, so a lost executor
-cannot lead to bitmaps that belong to another order.
+cannot lead to bitmaps that belong to another order. What a sender and an owner hold grows with the root of
+the rows, so the number of messages, one from each sender to each owner, grows with the rows and not their square.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,9 +33,17 @@ from tripmill.llm.common import checkpointed, text_of
 class Settings:
     # Fingerprint bits: false suspects cost a byte comparison, so some bits above log2(rows) are enough.
     bits: int = 48
+    # Rows of a sender and fingerprints of an owner, for so many rows in all that ``root`` times the root of
+    # their number is less; beyond, both are ``root`` times that root.
     sender_rows: int = 50_000
-    # Fingerprints that an owner should receive; its number of owners follows from the count of rows.
     owner_rows: int = 1_000_000
+    root: int = 20
+
+    def sender_size(self, rows: int) -> int:
+        return max(self.sender_rows, self.root * math.isqrt(rows))
+
+    def owners(self, rows: int) -> int:
+        return max(4, -(-rows // max(self.owner_rows, self.root * math.isqrt(rows))))
 
 
 def golomb_encode(values: np.ndarray, span: int) -> tuple[int, bytes]:
@@ -66,8 +76,14 @@ _SENT = [("doc_id", None), ("fp", pa.int64()), ("digest", pa.binary(32)), ("send
 _SENT += [("rank", pa.int64()), ("twice", pa.bool_()), ("count", pa.int64()), ("shift", pa.int64()), ("code", pa.binary())]
 
 
-def _send(hashed: DataFrame, owners: int, settings: Settings) -> DataFrame:
-    """Rows with their rank, and messages (rank null) to owners."""
+def _send(hashed: DataFrame, rows: int, settings: Settings) -> DataFrame:
+    """Rows with their rank, and messages (rank null) to owners.
+
+    Written fingerprints lie in as many parts as the texts did. Parts are put together, without a shuffle,
+    until a task has about as many rows as a sender should.
+    """
+    most, owners = settings.sender_size(rows), settings.owners(rows)
+    tasks = max(hashed.sparkSession.sparkContext.defaultParallelism, -(-rows // most))
     span = (1 << settings.bits) // owners
     id_field = hashed.schema["doc_id"]
     long, binary = T.LongType(), T.BinaryType()
@@ -108,13 +124,13 @@ def _send(hashed: DataFrame, owners: int, settings: Settings) -> DataFrame:
         for batch in batches:
             waiting.append(batch)
             rows += batch.num_rows
-            if rows >= settings.sender_rows:
+            if rows >= most:
                 yield from flush(pa.Table.from_batches(waiting), sender)
                 waiting, rows, sender = [], 0, sender + 1
         if rows:
             yield from flush(pa.Table.from_batches(waiting), sender)
 
-    return hashed.mapInArrow(run, schema)
+    return hashed.coalesce(tasks).mapInArrow(run, schema)
 
 
 def _answers(messages: DataFrame) -> DataFrame:
@@ -144,8 +160,7 @@ def exact_duplicates(
     mask = (1 << settings.bits) - 1
     hashed = texts.select("doc_id", F.xxhash64("body").bitwiseAND(mask).alias("fp"), digest.alias("digest"))
     rows = docs.select(F.lit(1)).count()
-    owners = max(4, -(-rows // settings.owner_rows))
-    sent = checkpointed(_send(hashed, owners, settings))
+    sent = checkpointed(_send(checkpointed(hashed), rows, settings))
     messages = sent.where("rank is null").select("sender", "owner", "count", "shift", "code")
     answers = _answers(messages)
     ranked = sent.where("rank is not null")
